@@ -119,11 +119,11 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(review_id, score_raw string): raw score text with junk, zeros, 1-5
-    and out-of-range values."""
+    """(review_id, score string): raw score text with junk, zeros, 1-5 and
+    out-of-range values."""
     return read_table(spark, sf_dir, "events").select(
         F.col("event_id").alias("review_id"),
         F.when(F.col("event_type") == JUNK_EVENT_TYPE, F.lit(JUNK_SCORE_TEXT))
         .otherwise(F.floor(F.col("value") / 10).cast("int").cast("string"))
-        .alias("score_raw"),
+        .alias("score"),
     )
