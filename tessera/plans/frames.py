@@ -1 +1,285 @@
-"""Placeholder; filled in below."""
+"""Frame-packet questions, on data derived from the tables:
+
+* packets: ``pages`` (page_id, html) as frames of bytes;
+* repeated frame ids: ``conversations`` (conv_id as frame id, turn as
+  arrival order, text as bytes);
+* pixels and masks: ``embeddings`` vectors (pixels = the vector, the mask
+  taken from the same vector; a stand-in rule marks some frames as having
+  no usable mask, which exercises the keep-original path);
+* JSON messages: ``events``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.functions.scalars import frame_file_name
+from tessera.operators.frames import (
+    END_MARKER,
+    decode_packets,
+    encode_packets,
+    frame_counters,
+    latest_per_id,
+    masked_replace,
+    masked_replace_channels,
+    parse_packets,
+)
+from tessera.operators.join import union_all
+from tessera.plans.registry import query
+from tessera.session import scratch_dir
+from tessera.sources import tables as T
+from tessera.sources.frame_files import read_frame_files, write_frame_files
+from tessera.sources.packets import read_json_lines, read_packet_lines, write_json_lines, write_packet_lines
+from tessera.streaming.packets import start_packet_stream
+
+# Stand-in rules for pixels/masks (fixed values).
+RGB_PIXELS, RGB_MASK = 63, 21          # 21 pixels x 3 channels, one mask value per pixel
+NO_MASK_LABEL = 0                      # frames with this label have no mask
+SHORT_MASK_LABEL, SHORT_MASK_LEN = 1, 32  # frames with this label have a mask of the wrong length
+
+
+# ------------------------------------------------------------------ builders
+def page_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_packets(T.read_table(spark, sf_dir, "pages"), "page_id", "html", keep=["url"])
+
+
+def packet_lines_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All page packets plus faulty lines derived from them: a truncated
+    payload (bad padding), a non-integer id (the url), and the ``END``
+    marker line."""
+    enc = page_packets(spark, sf_dir)
+    fid = F.col("frame_id").cast("string")
+    good = enc.select(F.col("packet").alias("value"))
+    truncated = enc.select(
+        F.concat(fid, F.lit("|"), F.col("payload").substr(F.lit(1), F.length("payload") - 1)).alias("value")
+    )
+    bad_id = enc.select(F.concat(F.col("url"), F.lit("|"), F.col("payload")).alias("value"))
+    end = enc.sparkSession.createDataFrame([(END_MARKER,)], "value string")
+    return union_all(good, truncated, bad_id, end)
+
+
+def decoded_page_frames(lines: DataFrame) -> DataFrame:
+    frames = decode_packets(parse_packets(lines))
+    return frames.select(
+        "frame_id", F.length("data").alias("n_bytes"), F.decode("data", "UTF-8").alias("text")
+    )
+
+
+def conversation_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames with repeated ids: parse + decode of conversation packets,
+    arrival order = turn."""
+    conv = T.read_table(spark, sf_dir, "conversations")
+    pk = encode_packets(conv, "conv_id", "text", keep=["turn"])
+    return decode_packets(parse_packets(pk.select("turn", F.col("packet").alias("value")), keep=["turn"]))
+
+
+def latest_conversation_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    latest = latest_per_id(conversation_frames(spark, sf_dir), "frame_id", "turn", ["data"])
+    return latest.select(
+        "frame_id",
+        F.col("turn").alias("arrival"),
+        frame_file_name("frame_id").alias("file_name"),
+        "data",
+    )
+
+
+def pixel_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = T.read_table(spark, sf_dir, "embeddings")
+    rev = F.reverse("embedding")
+    return e.select(
+        F.col("vec_id").alias("frame_id"),
+        F.col("embedding").alias("pixels"),
+        F.when(F.col("label") == SHORT_MASK_LABEL, F.slice(rev, 1, SHORT_MASK_LEN)).otherwise(rev).alias("mask"),
+    )
+
+
+def rgb_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = T.read_table(spark, sf_dir, "embeddings")
+    return e.select(
+        F.col("vec_id").alias("frame_id"),
+        F.slice("embedding", 1, RGB_PIXELS).alias("pixels"),
+        F.when(F.col("label") != NO_MASK_LABEL, F.slice("embedding", 1, RGB_MASK)).alias("mask"),
+    )
+
+
+def rgb_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masked_replace_channels(rgb_frames(spark, sf_dir), "pixels", "mask").select(
+        "frame_id", "pixels", "replaced"
+    )
+
+
+# --------------------------------------------------------------------- SQL
+SQL_ENC = "SELECT page_id, url, to_base64(encode(html)) AS payload FROM pages"
+SQL_LINES = f"""enc AS ({SQL_ENC}),
+lines AS (SELECT CAST(page_id AS VARCHAR) || '|' || payload AS value FROM enc
+          UNION ALL SELECT CAST(page_id AS VARCHAR) || '|' || substr(payload, 1, length(payload) - 1) FROM enc
+          UNION ALL SELECT url || '|' || payload FROM enc
+          UNION ALL SELECT '{END_MARKER}'),
+parsed AS (SELECT TRY_CAST(split_part(value, '|', 1) AS BIGINT) AS frame_id,
+                  regexp_replace(substr(value, strpos(value, '|') + 1), '[^A-Za-z0-9+/=]', '', 'g') AS p
+           FROM lines WHERE strpos(value, '|') > 0),
+dec AS (SELECT frame_id, CASE WHEN length(p) % 4 = 0 THEN from_base64(p) END AS data
+        FROM parsed WHERE frame_id IS NOT NULL)"""
+SQL_DECODED = (
+    "SELECT frame_id, CAST(octet_length(data) AS INTEGER) AS n_bytes, decode(data) AS text "
+    "FROM dec WHERE data IS NOT NULL AND octet_length(data) > 0"
+)
+SQL_LATEST = """c AS (SELECT conv_id, turn, text FROM conversations WHERE octet_length(encode(text)) > 0),
+latest AS (SELECT conv_id AS frame_id, max(turn) AS arrival, printf('frame_%04d.jpg', conv_id) AS file_name,
+                  arg_max(text, turn) AS text FROM c GROUP BY conv_id)"""
+SQL_RGB = f"""f AS (SELECT vec_id AS frame_id, list_slice(embedding, 1, {RGB_PIXELS}) AS px,
+                  CASE WHEN label <> {NO_MASK_LABEL} THEN list_slice(embedding, 1, {RGB_MASK}) END AS mask
+           FROM embeddings),
+g AS (SELECT frame_id, px, mask, COALESCE(mask IS NOT NULL AND px IS NOT NULL AND len(px) = len(mask) * 3, false) AS ok FROM f),
+out AS (SELECT frame_id,
+               CASE WHEN ok THEN list_transform(generate_series(1, len(px)),
+                    lambda i: CASE WHEN CAST(mask[((i - 1) // 3) + 1] AS DOUBLE) > 0.2 THEN CAST(192 AS FLOAT) ELSE px[i] END)
+                    ELSE px END AS pixels,
+               ok AS replaced FROM g)"""
+
+
+# ------------------------------------------------------------------ queries
+@query(
+    "packet_encode",
+    f"""WITH enc AS ({SQL_ENC})
+SELECT page_id AS frame_id, payload, CAST(length(payload) AS INTEGER) AS size,
+       CAST(page_id AS VARCHAR) || '|' || payload AS packet FROM enc""",
+    "SCA15 SNK2 STR5 SCA17 SCA18",
+)
+def packet_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_packets(spark, sf_dir).select("frame_id", "payload", "size", "packet")
+
+
+@query(
+    "packet_parse",
+    f"WITH {SQL_LINES}\n{SQL_DECODED}",
+    "FIL6 FIL7 SCA3 SCA16 FIL5",
+)
+def packet_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decoded_page_frames(packet_lines_with_faults(spark, sf_dir))
+
+
+@query(
+    "packet_batch_files",
+    f"WITH {SQL_LINES}\n{SQL_DECODED}",
+    "SNK2 SRC5 FIL6 SCA16",
+)
+def packet_batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packet lines written to files, then read back as a batch."""
+    path = scratch_dir(spark, "packets")
+    write_packet_lines(packet_lines_with_faults(spark, sf_dir), path)
+    return decoded_page_frames(read_packet_lines(spark, path))
+
+
+@query(
+    "packet_stream",
+    f"WITH {SQL_LINES}\n{SQL_DECODED}",
+    "SRC5 STR1 STR2",
+)
+def packet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packet files processed by a streaming query (available-now trigger,
+    parquet sink with checkpoint), result read back."""
+    base = scratch_dir(spark, "packet-stream")
+    write_packet_lines(packet_lines_with_faults(spark, sf_dir), f"{base}/in")
+    q = start_packet_stream(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"packet stream failed: {q.exception()}")
+    out = spark.read.parquet(f"{base}/out")
+    return out.select(
+        "frame_id", F.length("data").alias("n_bytes"), F.decode("data", "UTF-8").alias("text")
+    )
+
+
+@query(
+    "masked_replace",
+    f"""WITH f AS (SELECT vec_id AS frame_id, embedding AS px,
+                   CASE WHEN label = {SHORT_MASK_LABEL} THEN list_slice(list_reverse(embedding), 1, {SHORT_MASK_LEN})
+                        ELSE list_reverse(embedding) END AS mask FROM embeddings),
+g AS (SELECT frame_id, px, mask, COALESCE(mask IS NOT NULL AND px IS NOT NULL AND len(px) = len(mask), false) AS ok FROM f)
+SELECT frame_id,
+       CASE WHEN ok THEN list_transform(generate_series(1, len(px)),
+            lambda i: CASE WHEN CAST(mask[i] AS DOUBLE) > 0.2 THEN CAST(192 AS FLOAT) ELSE px[i] END)
+            ELSE px END AS pixels,
+       ok AS replaced
+FROM g""",
+    "SCA21 STR4 UDF1",
+)
+def masked_replace_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masked_replace(pixel_frames(spark, sf_dir), "pixels", "mask").select(
+        "frame_id", "pixels", "replaced"
+    )
+
+
+@query(
+    "masked_replace_rgb",
+    f"WITH {SQL_RGB}\nSELECT frame_id, pixels, replaced FROM out",
+    "SCA21 SCA23 STR4",
+)
+def masked_replace_rgb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rgb_processed(spark, sf_dir)
+
+
+@query(
+    "frame_counters",
+    f"""WITH {SQL_RGB}
+SELECT COUNT(*) AS frames, COUNT(*) FILTER (WHERE replaced) AS replaced, COUNT(*) FILTER (WHERE NOT replaced) AS kept
+FROM out""",
+    "AGG19",
+)
+def frame_counters_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frame_counters(rgb_processed(spark, sf_dir))
+
+
+@query(
+    "latest_frame_per_id",
+    f"""WITH {SQL_LATEST}
+SELECT frame_id, arrival, file_name, text, CAST(octet_length(encode(text)) AS INTEGER) AS n_bytes FROM latest""",
+    "STR3 SCA14",
+)
+def latest_frame_per_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    latest = latest_conversation_frames(spark, sf_dir)
+    return latest.select(
+        "frame_id", "arrival", "file_name",
+        F.decode("data", "UTF-8").alias("text"), F.length("data").alias("n_bytes"),
+    )
+
+
+@query(
+    "frame_files",
+    f"""WITH {SQL_LATEST}
+SELECT file_name, CAST(octet_length(encode(text)) AS BIGINT) AS length, text FROM latest""",
+    "SNK3 STR3 SCA14",
+)
+def frame_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest frame per id written as one file each (folder emptied first),
+    then read back with the binary-file reader."""
+    path = scratch_dir(spark, "frame-files")
+    latest = latest_conversation_frames(spark, sf_dir)
+    write_frame_files(latest.select("file_name", F.col("data").alias("content")), path)
+    back = read_frame_files(spark, path)
+    return back.select("file_name", "length", F.decode("content", "UTF-8").alias("text"))
+
+
+@query(
+    "json_lines_message",
+    """SELECT event_id, event_type AS message, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+       to_json({'message': event_type}) AS line FROM events""",
+    "SRC6 SCA19",
+)
+def json_lines_message(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as JSON lines, read back with a declared schema; the
+    nested ``props`` JSON text is parsed and a message line is produced."""
+    path = scratch_dir(spark, "json-lines")
+    ev = T.read_table(spark, sf_dir, "events").select(
+        "event_id", F.col("event_type").alias("message"), "props"
+    )
+    write_json_lines(ev, path)
+    back = read_json_lines(spark, path, "event_id bigint, message string, props string")
+    return back.select(
+        "event_id",
+        "message",
+        F.from_json("props", "k bigint")["k"].alias("k"),
+        F.to_json(F.struct("message")).alias("line"),
+    )
