@@ -50,13 +50,12 @@ def packet_lines_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     marker line."""
     enc = page_packets(spark, sf_dir)
     fid = F.col("frame_id").cast("string")
-    good = enc.select(F.col("packet").alias("value"))
-    truncated = enc.select(
-        F.concat(fid, F.lit("|"), F.col("payload").substr(F.lit(1), F.length("payload") - 1)).alias("value")
-    )
-    bad_id = enc.select(F.concat(F.col("url"), F.lit("|"), F.col("payload")).alias("value"))
-    end = enc.sparkSession.createDataFrame([(END_MARKER,)], "value string")
-    return union_all(good, truncated, bad_id, end)
+    truncated = F.concat(fid, F.lit("|"), F.col("payload").substr(F.lit(1), F.length("payload") - 1))
+    bad_id = F.concat(F.col("url"), F.lit("|"), F.col("payload"))
+    # one scan and one encode per page, three lines out of it
+    lines = enc.select(F.explode(F.array(F.col("packet"), truncated, bad_id)).alias("value"))
+    end = spark.createDataFrame([(END_MARKER,)], "value string")
+    return union_all(lines, end)
 
 
 def decoded_page_frames(lines: DataFrame) -> DataFrame:

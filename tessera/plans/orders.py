@@ -117,7 +117,9 @@ def orders_by_year_month_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-REVENUE_ORDER = [F.desc("revenue"), F.asc("category")]
+def revenue_order():
+    """Revenue descending, category as tie-break (NULL first)."""
+    return [F.desc("revenue"), F.asc("category")]
 
 
 def _metric(df: DataFrame, name: str, value_col: str) -> DataFrame:
@@ -261,7 +263,7 @@ FROM cat ORDER BY revenue DESC, category NULLS FIRST""",
 def revenue_by_category_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         category_revenue(spark, sf_dir)
-        .orderBy(*REVENUE_ORDER)
+        .orderBy(*revenue_order())
         .select(
             "category",
             label_or_default("category").alias("category_label"),
@@ -299,7 +301,7 @@ FROM cat ORDER BY revenue DESC, category NULLS FIRST LIMIT {TOP_N}""",
 def top10_categories_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     cats = category_revenue(spark, sf_dir)
     total = cats.select(F.sum("revenue")).scalar()
-    top = with_rank(top_n(cats, TOP_N, REVENUE_ORDER), REVENUE_ORDER, "rank")
+    top = with_rank(top_n(cats, TOP_N, revenue_order()), revenue_order(), "rank")
     return top.select(
         "rank",
         label_or_default("category").alias("category"),
@@ -322,7 +324,7 @@ def top10_subtotal_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     cats = category_revenue(spark, sf_dir)
     total = cats.select(F.sum("revenue")).scalar()
     n_groups = cats.select(F.count(F.lit(1))).scalar()
-    return top_n(cats, TOP_N, REVENUE_ORDER).agg(F.sum("revenue").alias("top")).select(
+    return top_n(cats, TOP_N, revenue_order()).agg(F.sum("revenue").alias("top")).select(
         as_double("top").alias("top_revenue"),
         percent_of("top", total).alias("top_pct"),
         n_groups.alias("category_count"),

@@ -101,7 +101,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema; every text comes back whole."""
     path = scratch_dir(spark, "documents-csv")
     write_csv(T.read_table(spark, sf_dir, "documents").select(*DOCUMENT_COLUMNS), path)
-    return read_csv(spark, path, DOCUMENT_SCHEMA)
+    return read_csv(spark, path, DOCUMENT_SCHEMA, keep_empty_strings=True)
 
 
 @query(
@@ -201,7 +201,7 @@ def category_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         pad_left(format_thousands(as_double("freight_total"), 2), MONEY_WIDTH),
         pad_left(format_thousands("item_count", 0), COUNT_WIDTH),
     )
-    return cats.orderBy(*O.REVENUE_ORDER).select(label.alias("category"), line.alias("line"))
+    return cats.orderBy(*O.revenue_order()).select(label.alias("category"), line.alias("line"))
 
 
 @query(
@@ -220,7 +220,7 @@ FROM t""",
 def top10_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     cats = O.category_revenue(spark, sf_dir)
     total = cats.select(F.sum("revenue")).scalar()
-    top = with_rank(top_n(cats, O.TOP_N, O.REVENUE_ORDER), O.REVENUE_ORDER, "rank")
+    top = with_rank(top_n(cats, O.TOP_N, O.revenue_order()), O.revenue_order(), "rank")
     line = F.concat(
         F.concat_ws(
             " ",

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 RECORDS_PER_FILE = 50_000
+# Reader-side null marker used when empty strings must survive: an unquoted
+# empty field then still reads as NULL, a quoted empty field as ''.
+NULL_SENTINEL = "\u0000"
 
 
 def _options(sep: str) -> dict[str, str]:
@@ -31,8 +34,16 @@ def read_csv(
     sep: str = ";",
     multi_line: bool = True,
     infer: bool = False,
+    keep_empty_strings: bool = False,
 ) -> DataFrame:
+    """Read delimited files.
+
+    By default an empty field, quoted or not, reads as NULL (Spark's and the
+    original scripts' behaviour).  ``keep_empty_strings`` reads a quoted
+    empty field (what ``write_csv`` writes for ``''``) as ``''``."""
     reader = spark.read.options(**_options(sep)).option("multiLine", str(multi_line).lower())
+    if keep_empty_strings:
+        reader = reader.option("nullValue", NULL_SENTINEL)
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:
