@@ -65,12 +65,15 @@ def parse_packets(lines: DataFrame, value_col: str = "value", keep: Sequence[str
 
 def decode_packets(packets: DataFrame, payload_col: str = "payload", out_col: str = "data") -> DataFrame:
     """Decode the base64 payload; rows that do not decode to at least one
-    byte are dropped."""
-    return (
-        packets.withColumn(out_col, b64_decode(payload_col))
-        .filter(F.col(out_col).isNotNull() & (F.length(out_col) > 0))
-        .drop(payload_col)
-    )
+    byte are dropped.
+
+    The decoded value is kept through ``explode`` of a zero-or-one element
+    array rather than ``withColumn`` + ``filter``: Catalyst pushes a filter
+    below the projection by substituting the alias, which would run the
+    decode once in the filter and again in the projection."""
+    decoded = F.filter(F.array(b64_decode(payload_col)), lambda d: F.length(d) > 0)
+    others = [c for c in packets.columns if c != payload_col]
+    return packets.select(*others, F.explode(decoded).alias(out_col))
 
 
 def _element_type(df: DataFrame, col: str) -> DataType:

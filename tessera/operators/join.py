@@ -38,3 +38,12 @@ def union_all(*frames: DataFrame) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition ahead of heavy per-row work, only when the
+    frame has fewer partitions than the cluster can run at once (a small
+    input file read as one or two splits).  Large inputs already have more
+    splits than cores and are returned unchanged, so no shuffle is added."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

@@ -25,7 +25,7 @@ from tessera.operators.frames import (
     masked_replace_channels,
     parse_packets,
 )
-from tessera.operators.join import union_all
+from tessera.operators.join import spread, union_all
 from tessera.plans.registry import query
 from tessera.session import scratch_dir
 from tessera.sources import tables as T
@@ -41,7 +41,8 @@ SHORT_MASK_LABEL, SHORT_MASK_LEN = 1, 32  # frames with this label have a mask o
 
 # ------------------------------------------------------------------ builders
 def page_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_packets(T.read_table(spark, sf_dir, "pages"), "page_id", "html", keep=["url"])
+    pages = spread(T.read_table(spark, sf_dir, "pages"))
+    return encode_packets(pages, "page_id", "html", keep=["url"])
 
 
 def packet_lines_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +69,7 @@ def decoded_page_frames(lines: DataFrame) -> DataFrame:
 def conversation_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames with repeated ids: parse + decode of conversation packets,
     arrival order = turn."""
-    conv = T.read_table(spark, sf_dir, "conversations")
+    conv = spread(T.read_table(spark, sf_dir, "conversations"))
     pk = encode_packets(conv, "conv_id", "text", keep=["turn"])
     return decode_packets(parse_packets(pk.select("turn", F.col("packet").alias("value")), keep=["turn"]))
 
