@@ -5,9 +5,14 @@ plans them as partial aggregation before the shuffle and final aggregation
 after it: a key holding a third of all rows is collapsed map-side and never
 lands as raw rows in one task.
 
-Sums of money and ratings are accumulated as ``decimal(18, scale)``: the
-result is exact and therefore identical for any partitioning, executor count
-or retry order (a double sum is not).  Averages are ``sum / count`` in double.
+Sums of money and ratings are exact: each value is rounded half-up to
+``SUM_SCALE`` decimals and accumulated as an integer count of 10^-scale units
+(a ``bigint`` sum, which stays in generated code; a decimal sum above 18
+digits falls back to BigDecimal and ran 1.5-2x slower).  The result is the
+same for any partitioning, executor count or retry order (a double sum is
+not).  Headroom: 9.2e16 whole units per sum at scale 2; with ANSI mode (on
+by default, pinned by ``build_session``) an overflow fails the job instead of
+wrapping.  Averages are ``units / 10^scale / count`` in double.
 """
 
 from __future__ import annotations
@@ -19,19 +24,29 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scalars import ColumnOrName, _col
 
-SUM_PRECISION = 18
 SUM_SCALE = 2
 
 
+def fixed_units(c: ColumnOrName, scale: int = SUM_SCALE) -> Column:
+    """Value as a whole number of 10^-scale units (half-up), ``bigint``."""
+    return F.round(_col(c) * float(10 ** scale)).cast("bigint")
+
+
 def exact_sum(c: ColumnOrName, scale: int = SUM_SCALE) -> Column:
-    """Order-independent sum: values rounded to ``scale`` decimals, summed
-    as decimal."""
-    return F.sum(_col(c).cast(f"decimal({SUM_PRECISION},{scale})"))
+    """Order-independent sum, in 10^-scale units (``bigint``)."""
+    return F.sum(fixed_units(c, scale))
+
+
+def units_to_double(units: ColumnOrName, scale: int = SUM_SCALE) -> Column:
+    """A sum in 10^-scale units as a double (correctly rounded while the
+    unit count is below 2^53)."""
+    return _col(units).cast("double") / float(10 ** scale)
 
 
-def mean_of(total: ColumnOrName, count: ColumnOrName) -> Column:
-    """``total / count`` in double; NULL (not an error) for a zero count."""
-    return F.try_divide(_col(total).cast("double"), _col(count).cast("double"))
+def mean_of(total_units: ColumnOrName, count: ColumnOrName, scale: int = SUM_SCALE) -> Column:
+    """Average from a units sum and a count; NULL (not an error) for a zero
+    count."""
+    return F.try_divide(units_to_double(total_units, scale), _col(count).cast("double"))
 
 
 def as_double(c: ColumnOrName) -> Column:
@@ -42,7 +57,7 @@ def partial_sums(
     df: DataFrame, keys: Sequence[str], value: ColumnOrName, sum_name: str = "value_sum",
     count_name: str = "value_count",
 ) -> DataFrame:
-    """(keys, exact sum, non-null count) -- the combinable ``(sum, count)`` pair
+    """(keys, exact units sum, non-null count) -- the combinable ``(sum, count)`` pair
     of an average, for re-aggregation at a coarser key later."""
     v = _col(value)
     return df.groupBy(*keys).agg(exact_sum(v).alias(sum_name), F.count(v).alias(count_name))

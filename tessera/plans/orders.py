@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tessera.functions.casts import in_closed_range, tolerant_cast
 from tessera.functions.scalars import in_year, label_or_default, percent_of
 from tessera.operators.aggregate import (
-    as_double,
+    units_to_double,
     conditional_counts,
     count_by,
     distinct_count,
@@ -85,7 +85,7 @@ def orders_in_year(spark: SparkSession, sf_dir: str, year: int = T.TARGET_YEAR)
 
 def category_revenue(spark: SparkSession, sf_dir: str, year: int = T.TARGET_YEAR) -> DataFrame:
     """(category, revenue, price_total, freight_total, item_count) with exact
-    decimal sums, for order items of orders placed in ``year``."""
+    sums (in cents), for order items of orders placed in ``year``."""
     o = orders_in_year(spark, sf_dir, year).select("order_id")
     items = join_dimension(T.order_items(spark, sf_dir), o, "order_id")
     per_product = items.groupBy("product_id").agg(
@@ -267,9 +267,9 @@ def revenue_by_category_year(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             "category",
             label_or_default("category").alias("category_label"),
-            as_double("revenue").alias("total_revenue"),
-            as_double("price_total").alias("total_price"),
-            as_double("freight_total").alias("total_freight"),
+            units_to_double("revenue").alias("total_revenue"),
+            units_to_double("price_total").alias("total_price"),
+            units_to_double("freight_total").alias("total_freight"),
             F.col("item_count").cast("bigint").alias("item_count"),
         )
     )
@@ -284,7 +284,7 @@ SELECT (SELECT COUNT(*) FROM oy) AS orders_in_year, CAST((SELECT SUM(revenue) FR
 def revenue_total_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = category_revenue(spark, sf_dir).select(F.sum("revenue")).scalar()
     return row_count(orders_in_year(spark, sf_dir), "orders_in_year").select(
-        "orders_in_year", total.cast("double").alias("total_revenue")
+        "orders_in_year", units_to_double(total).alias("total_revenue")
     )
 
 
@@ -305,8 +305,8 @@ def top10_categories_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select(
         "rank",
         label_or_default("category").alias("category"),
-        as_double("revenue").alias("total_revenue"),
-        percent_of("revenue", total).alias("pct"),
+        units_to_double("revenue").alias("total_revenue"),
+        percent_of(units_to_double("revenue"), units_to_double(total)).alias("pct"),
     ).orderBy("rank")
 
 
@@ -325,8 +325,8 @@ def top10_subtotal_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = cats.select(F.sum("revenue")).scalar()
     n_groups = cats.select(F.count(F.lit(1))).scalar()
     return top_n(cats, TOP_N, revenue_order()).agg(F.sum("revenue").alias("top")).select(
-        as_double("top").alias("top_revenue"),
-        percent_of("top", total).alias("top_pct"),
+        units_to_double("top").alias("top_revenue"),
+        percent_of(units_to_double("top"), units_to_double(total)).alias("top_pct"),
         n_groups.alias("category_count"),
     )
 

@@ -22,7 +22,7 @@ from tessera.functions.scalars import (
     pad_right,
     percent_of,
 )
-from tessera.operators.aggregate import as_double, average_by, top_n, with_rank
+from tessera.operators.aggregate import average_by, top_n, units_to_double, with_rank
 from tessera.operators.inspect import sample_rows as _sample
 from tessera.operators.join import join_dimension
 from tessera.plans import orders as O
@@ -196,9 +196,9 @@ def category_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat_ws(
         " ",
         pad_right(label, CATEGORY_WIDTH),
-        pad_left(format_thousands(as_double("revenue"), 2), MONEY_WIDTH),
-        pad_left(format_thousands(as_double("price_total"), 2), MONEY_WIDTH),
-        pad_left(format_thousands(as_double("freight_total"), 2), MONEY_WIDTH),
+        pad_left(format_thousands(units_to_double("revenue"), 2), MONEY_WIDTH),
+        pad_left(format_thousands(units_to_double("price_total"), 2), MONEY_WIDTH),
+        pad_left(format_thousands(units_to_double("freight_total"), 2), MONEY_WIDTH),
         pad_left(format_thousands("item_count", 0), COUNT_WIDTH),
     )
     return cats.orderBy(*O.revenue_order()).select(label.alias("category"), line.alias("line"))
@@ -226,8 +226,8 @@ def top10_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
             " ",
             pad_left(F.col("rank"), RANK_WIDTH),
             pad_right(label_or_default("category"), CATEGORY_WIDTH),
-            pad_left(format_thousands(as_double("revenue"), 2), TOP_MONEY_WIDTH),
-            pad_left(format2(percent_of("revenue", total)), PCT_WIDTH),
+            pad_left(format_thousands(units_to_double("revenue"), 2), TOP_MONEY_WIDTH),
+            pad_left(format2(percent_of(units_to_double("revenue"), units_to_double(total))), PCT_WIDTH),
         ),
         F.lit("%"),
     )

@@ -23,6 +23,7 @@ _BASE_CONF = {
     "spark.driver.bindAddress": "127.0.0.1",
     "spark.driver.host": "127.0.0.1",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
