@@ -108,7 +108,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     "sample_rows",
     "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority "
     "FROM orders ORDER BY o_orderkey LIMIT 5",
-    "SNK5 SNK4",
+    "SNK5",
 )
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sample(T.read_table(spark, sf_dir, "orders"), 5, ["o_orderkey"])
