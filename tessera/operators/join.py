@@ -47,3 +47,15 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     splits than cores and are returned unchanged, so no shuffle is added."""
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a (small) intermediate result once and cut its lineage, for a
+    plan that reads it more than once (e.g. a grand total and a top-N of the
+    same grouped result).  Uses a reliable checkpoint in the shared
+    ``spark.checkpoint.dir``: one job computes and writes it, and a lost
+    executor cannot lose it."""
+    from tessera.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)  # make sure a checkpoint folder is set
+    return df.checkpoint(eager=True)

@@ -24,7 +24,7 @@ from tessera.functions.scalars import (
 )
 from tessera.operators.aggregate import average_by, top_n, units_to_double, with_rank
 from tessera.operators.inspect import sample_rows as _sample
-from tessera.operators.join import join_dimension
+from tessera.operators.join import join_dimension, materialize
 from tessera.plans import orders as O
 from tessera.plans import ratings as R
 from tessera.plans.registry import query
@@ -218,7 +218,7 @@ FROM t""",
     "SNK1 WIN1 SCA8 SCA9 SCA10",
 )
 def top10_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cats = O.category_revenue(spark, sf_dir)
+    cats = materialize(O.category_revenue(spark, sf_dir))
     total = cats.select(F.sum("revenue")).scalar()
     top = with_rank(top_n(cats, O.TOP_N, O.revenue_order()), O.revenue_order(), "rank")
     line = F.concat(
