@@ -30,6 +30,9 @@ _BASE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Call-site capture for error messages costs several Python<->JVM round
+    # trips per column function while a plan is built; off for batch jobs.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
