@@ -24,7 +24,7 @@ from tessera.functions.scalars import (
 )
 from tessera.operators.aggregate import average_by, top_n, units_to_double, with_rank
 from tessera.operators.inspect import sample_rows as _sample
-from tessera.operators.join import join_dimension, materialize
+from tessera.operators.join import join_dimension, materialize, spread
 from tessera.plans import orders as O
 from tessera.plans import ratings as R
 from tessera.plans.registry import query
@@ -45,7 +45,7 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def write_rating_files(spark: SparkSession, sf_dir: str) -> dict[str, object]:
     """Write ``movies`` and two ``ratings`` line files; return their paths."""
     base = scratch_dir(spark, "rating-text")
-    li = T.read_table(spark, sf_dir, "lineitem")
+    li = spread(T.read_table(spark, sf_dir, "lineitem"))
     rating_lines = li.select(
         F.when(F.col("l_linenumber") <= 3, F.lit("ratings_1")).otherwise(F.lit("ratings_2")).alias("file"),
         to_delimited_line(
