@@ -129,6 +129,21 @@ def latest_per_id(df: DataFrame, id_col: str, order_col: str, value_cols: Sequen
     return picked.select(id_col, *[F.col(f"_latest.{c}").alias(c) for c in (order_col, *value_cols)])
 
 
+def packet_counters(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """One pass, one row of pipeline counters: lines received, ``END``
+    markers, packets (separator and an integer id) and frames (payload
+    decodes to at least one byte)."""
+    v = F.col(value_col)
+    head, tail = split_first(v, PACKET_SEPARATOR)
+    is_packet = v.contains(PACKET_SEPARATOR) & head.try_cast("bigint").isNotNull()
+    return lines.agg(
+        F.count(F.lit(1)).alias("received"),
+        F.count_if(v == F.lit(END_MARKER)).alias("end_markers"),
+        F.count_if(is_packet).alias("packets"),
+        F.count_if(is_packet & (F.length(b64_decode(tail)) > 0)).alias("frames"),
+    )
+
+
 def frame_counters(processed: DataFrame, flag: str = "replaced") -> DataFrame:
     """One row: frames processed, replaced, kept as they were."""
     return processed.agg(

@@ -40,11 +40,20 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition ahead of heavy per-row work, only when the
-    frame has fewer partitions than the cluster can run at once (a small
-    input file read as one or two splits).  Large inputs already have more
-    splits than cores and are returned unchanged, so no shuffle is added."""
+def spread(df: DataFrame, min_partitions: int | None = None, rows_per_partition: int | None = None) -> DataFrame:
+    """Round-robin repartition ahead of heavy per-row work.
+
+    Default: only when the frame has fewer partitions than the cluster can
+    run at once (a small input file read as one or two splits).  Large
+    inputs already have more splits than cores and are returned unchanged,
+    so no shuffle is added at scale.
+
+    ``rows_per_partition``: size partitions by row count instead,
+    ``max(1, n // rows_per_partition)`` partitions for ``n`` rows (one
+    counting job first) -- for very heavy per-row work such as model
+    inference on frames."""
+    if rows_per_partition:
+        return df.repartition(max(1, df.count() // rows_per_partition))
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
 

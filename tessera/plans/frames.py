@@ -23,6 +23,7 @@ from tessera.operators.frames import (
     latest_per_id,
     masked_replace,
     masked_replace_channels,
+    packet_counters,
     parse_packets,
 )
 from tessera.operators.join import spread, union_all
@@ -160,6 +161,20 @@ def packet_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded_page_frames(packet_lines_with_faults(spark, sf_dir))
 
 
+@query(
+    "packet_counters",
+    f"""WITH {SQL_LINES}
+SELECT (SELECT COUNT(*) FROM lines) AS received,
+       (SELECT COUNT(*) FROM lines WHERE value = '{END_MARKER}') AS end_markers,
+       (SELECT COUNT(*) FROM parsed WHERE frame_id IS NOT NULL) AS packets,
+       (SELECT COUNT(*) FROM dec WHERE data IS NOT NULL AND octet_length(data) > 0) AS frames""",
+    "AGG19 FIL6 FIL7 SCA16",
+)
+def packet_counters_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Receiver counters over all packet lines in one pass."""
+    return packet_counters(packet_lines_with_faults(spark, sf_dir))
+
+
 @query(
     "packet_batch_files",
     f"WITH {SQL_LINES}\n{SQL_DECODED}",

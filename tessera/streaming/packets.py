@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tessera.functions.scalars import frame_file_name
-from tessera.operators.frames import decode_packets, latest_per_id, parse_packets
+from tessera.operators.frames import END_MARKER, decode_packets, latest_per_id, parse_packets
 from tessera.sources.frame_files import register as register_frame_files
 from tessera.sources.frame_files import write_frame_files
 from tessera.sources.packets import LINE_SCHEMA
@@ -46,8 +46,17 @@ def start_packet_stream(
     spark: SparkSession, input_dir: str, output_dir: str, checkpoint_dir: str,
     live: bool = False, batch_interval: str = BATCH_INTERVAL, max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Packet files -> decoded frames appended to parquet in ``output_dir``."""
-    frames = decoded_frames(packet_source(spark, input_dir, max_files_per_trigger))
+    """Packet files -> decoded frames appended to parquet in ``output_dir``.
+
+    Per micro-batch counters (lines received, ``END`` markers, frames
+    decoded) are attached with ``observe`` and appear in the query progress
+    under ``observedMetrics``."""
+    lines = packet_source(spark, input_dir, max_files_per_trigger).observe(
+        "packet_lines",
+        F.count(F.lit(1)).alias("received"),
+        F.count_if(F.col("value") == F.lit(END_MARKER)).alias("end_markers"),
+    )
+    frames = decoded_frames(lines).observe("decoded_frames", F.count(F.lit(1)).alias("frames"))
     writer = (
         frames.writeStream.format("parquet")
         .option("path", output_dir)

@@ -173,3 +173,23 @@ def test_arrival_order_within_batch_files(spark, scratch):
 def test_b64_encode_of_text_is_utf8(spark):
     df = spark.createDataFrame([("héllo",)], "s string")
     assert df.select(b64_encode("s").alias("e")).first().e == base64.b64encode("héllo".encode()).decode()
+
+
+def test_packet_counters_one_pass(spark):
+    from tessera.operators.frames import packet_counters
+
+    df = spark.createDataFrame([(v,) for v in LINES], "value string")
+    c = packet_counters(df).first()
+    # received 7; END once; packets: 5, 6, 7, 8 have an integer id; frames: 5 and 7
+    assert (c.received, c.end_markers, c.packets, c.frames) == (7, 1, 4, 2)
+
+
+def test_stream_reports_observed_counters(spark, scratch):
+    _packet_files(scratch, [LINES])
+    q = start_packet_stream(spark, f"{scratch}/in", f"{scratch}/out", f"{scratch}/ckpt")
+    q.awaitTermination()
+    metrics = [p["observedMetrics"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert metrics, "no observed metrics in progress"
+    m = metrics[0]
+    assert int(m["packet_lines"]["received"]) == 7 and int(m["packet_lines"]["end_markers"]) == 1
+    assert int(m["decoded_frames"]["frames"]) == 2
