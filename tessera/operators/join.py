@@ -54,8 +54,12 @@ def spread(df: DataFrame, min_partitions: int | None = None, rows_per_partition:
     inference on frames."""
     if rows_per_partition:
         return df.repartition(max(1, df.count() // rows_per_partition))
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no partition information (e.g. a remote session): leave as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def materialize(df: DataFrame) -> DataFrame:

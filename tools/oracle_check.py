@@ -61,7 +61,17 @@ def compare(spark_rows, spark_cols, duck_rows, duck_cols):
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     wanted = set(argv[2:])
-    spark = build_session(shuffle_partitions=8)
+    if os.environ.get("ORACLE_PLAIN"):
+        # a bare session, as a caller would pass it (no tessera settings)
+        from pyspark.sql import SparkSession
+
+        b = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+        b = b.config("spark.ui.enabled", "false")
+        if os.environ.get("ORACLE_TZ"):
+            b = b.config("spark.sql.session.timeZone", os.environ["ORACLE_TZ"])
+        spark = b.getOrCreate()
+    else:
+        spark = build_session(shuffle_partitions=8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
