@@ -176,8 +176,3 @@ def quality_split(df: DataFrame, valid: Column) -> DataFrame:
 def conditional_counts(df: DataFrame, predicates: Mapping[str, Column]) -> DataFrame:
     """One pass, one row: ``count_if`` for each named predicate."""
     return df.agg(*[F.count_if(p).alias(name) for name, p in predicates.items()])
-
-
-def to_long(df: DataFrame, id_cols: Sequence[str], value_cols: Sequence[str], name_col: str, value_col: str) -> DataFrame:
-    """Columns to rows (``unpivot``)."""
-    return df.unpivot(list(id_cols), list(value_cols), name_col, value_col)

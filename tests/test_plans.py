@@ -61,3 +61,22 @@ def test_shared_total_computed_once(plans):
     # re-running the lineitem/orders/part pipeline for its grand total
     plan = plans["top10_categories_share"]
     assert plan.count("lineitem.parquet") == 0
+
+
+def test_aggregate_partitioning_reused_by_join(spark):
+    """With the dimension too big to broadcast, the per-movie aggregate is
+    joined on the partitioning it already has: one hash exchange on movie_id
+    for the fact side (under the partial aggregate), one for the dimension."""
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        df = QUERIES["avg_rating_by_movie"].fn(spark, SMOKE_DIR)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(movie_id", plan)) == 2
