@@ -38,10 +38,16 @@ def main() -> None:
     spark = build_session(app_name="tessera-bench")
     queries = {n: q for n, q in load_all().items() if not only or n in only}
 
+    errors: dict[str, str] = {}
     for name, q in queries.items():  # warm-up
-        run_once(spark, q.fn, sf_dir)
+        try:
+            run_once(spark, q.fn, sf_dir)
+        except Exception as e:  # keep benchmarking the others, report it
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     timings: dict[str, float] = {}
     for name, q in queries.items():
+        if name in errors:
+            continue
         timings[name] = round(min(run_once(spark, q.fn, sf_dir) for _ in range(runs)), 3)
 
     print(json.dumps({
@@ -53,6 +59,7 @@ def main() -> None:
         "runs": runs,
         "stat": "min",
         "cpus": spark.sparkContext.defaultParallelism,
+        "errors": errors,
     }))
     spark.stop()
 
