@@ -96,6 +96,15 @@ class FrameFileDataSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Register the data source.  Its writer runs in executor Python workers,
+    which may not have this package installed (a cluster, or a driver started
+    from another folder), so the module's classes travel by value rather than
+    as an import reference."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(FrameFileDataSource)
 
 
