@@ -62,3 +62,20 @@ def write_csv(df: DataFrame, path: str, sep: str = ";", records_per_file: int =
         .option("maxRecordsPerFile", str(records_per_file))
         .csv(path)
     )
+
+
+def land_csv_as_parquet(
+    spark: SparkSession,
+    csv_path: str,
+    parquet_path: str,
+    schema: StructType | str,
+    sep: str = ";",
+    keep_empty_strings: bool = False,
+) -> DataFrame:
+    """Read multi-line CSV once (one task per file: not splittable) and keep
+    it as parquet, which later queries read split by split with column
+    pruning and pushed filters.  Returns the parquet-backed frame."""
+    read_csv(spark, csv_path, schema, sep=sep, keep_empty_strings=keep_empty_strings).write.mode(
+        "overwrite"
+    ).parquet(parquet_path)
+    return spark.read.schema(schema).parquet(parquet_path)

@@ -156,3 +156,16 @@ def test_declared_schemas_match_files(spark):
         declared = read_table(spark, "/root/testdata/sf0.001", t).schema
         inferred = read_table(spark, "/root/testdata/sf0.001", t, infer=True).schema
         assert [(f.name, f.dataType) for f in declared] == [(f.name, f.dataType) for f in inferred], t
+
+
+def test_land_csv_as_parquet(spark, scratch):
+    from tessera.sources.csv import land_csv_as_parquet
+
+    df = spark.createDataFrame([(1, "a;b\nc"), (2, "plain")], "id long, text string")
+    write_csv(df, f"{scratch}/csv")
+    landed = land_csv_as_parquet(spark, f"{scratch}/csv", f"{scratch}/pq", "id long, text string")
+    assert sorted(landed.collect()) == sorted(df.collect())
+    q = landed.filter("id = 2").select("text")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(id), EqualTo(id,2)]" in plan
+    assert q.first().text == "plain"
