@@ -3,7 +3,6 @@ the plan does not funnel raw rows of the hot key through one task."""
 
 import random
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from tessera.operators.aggregate import average_by, pivot_average
