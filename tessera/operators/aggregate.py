@@ -49,10 +49,6 @@ def mean_of(total_units: ColumnOrName, count: ColumnOrName, scale: int = SUM_SCA
     return F.try_divide(units_to_double(total_units, scale), _col(count).cast("double"))
 
 
-def as_double(c: ColumnOrName) -> Column:
-    return _col(c).cast("double")
-
-
 def partial_sums(
     df: DataFrame, keys: Sequence[str], value: ColumnOrName, sum_name: str = "value_sum",
     count_name: str = "value_count",

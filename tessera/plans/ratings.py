@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scalars import (
     AGE_LABELS,
+    GENDER_LABELS,
     age_bucket,
     epoch_year,
     explode_delimited,
@@ -78,7 +79,7 @@ def ratings_with_users(spark: SparkSession, sf_dir: str, user_cols: list[str]) -
     return join_dimension(T.ratings(spark, sf_dir).select("user_id", "movie_id", "rating"), u, "user_id")
 
 
-GENDER_COLUMNS = {"M": "male_avg", "F": "female_avg"}
+GENDER_COLUMNS = dict(zip(GENDER_LABELS, ("male_avg", "female_avg")))
 AGE_COLUMNS = dict(zip(AGE_LABELS, ("avg_0_18", "avg_18_35", "avg_35_50", "avg_50_plus")))
 
 
