@@ -280,7 +280,7 @@ def frame_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "json_lines_message",
     """SELECT event_id, event_type AS message, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
-       to_json({'message': event_type}) AS line FROM events""",
+       CAST(to_json({'message': event_type}) AS VARCHAR) AS line FROM events""",
     "SRC6 SCA19",
 )
 def json_lines_message(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 
 from tessera.plans.registry import load_all
 from tessera.sources.tables import TABLES
-from tools.oracle_check import compare
+from tools.oracle_check import compare, type_mismatches
 
 from .conftest import SMOKE_DIR
 
@@ -29,6 +29,8 @@ def test_query_matches_sql(spark, duck, name):
     assert len(df.columns) == len(set(df.columns))
     if q.sql is None:
         return
+    rel = duck.sql(q.sql)
+    assert not type_mismatches(df.schema, rel.columns, rel.types)
     cur = duck.execute(q.sql)
     err = compare(rows, df.columns, cur.fetchall(), [d[0] for d in cur.description])
     assert err is None, err

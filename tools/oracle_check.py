@@ -43,6 +43,23 @@ def _norm(v):
     return (type(v).__name__, v if isinstance(v, (int, str, bool)) else str(v))
 
 
+# Spark simple type -> DuckDB type name of the same value domain
+TYPE_NAMES = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "binary": "BLOB", "array<float>": "FLOAT[]",
+}
+
+
+def type_mismatches(spark_schema, duck_columns, duck_types):
+    duck = {c: str(t) for c, t in zip(duck_columns, duck_types)}
+    out = []
+    for f in spark_schema.fields:
+        s = f.dataType.simpleString()
+        if TYPE_NAMES.get(s, s) != duck.get(f.name):
+            out.append(f"{f.name}: spark {s} vs duck {duck.get(f.name)}")
+    return out
+
+
 def compare(spark_rows, spark_cols, duck_rows, duck_cols):
     if sorted(spark_cols) != sorted(duck_cols):
         return f"columns differ: {sorted(spark_cols)} vs {sorted(duck_cols)}"
@@ -93,10 +110,14 @@ def main(argv):
             results[name] = f"rows-only ({len(rows)} rows)"
         else:
             try:
+                rel = con.sql(q.sql)
+                types_bad = type_mismatches(df.schema, rel.columns, rel.types)
                 cur = con.execute(q.sql)
                 dcols = [d[0] for d in cur.description]
                 drows = cur.fetchall()
                 err = compare(rows, cols, drows, dcols)
+                if err is None and types_bad:
+                    err = "types differ: " + "; ".join(types_bad)
                 results[name] = "OK" if err is None else "MISMATCH " + err
             except Exception as e:
                 results[name] = f"SQL ERROR {type(e).__name__}: {str(e)[:400]}"
