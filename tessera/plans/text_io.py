@@ -24,6 +24,7 @@ from tessera.functions.scalars import (
 )
 from tessera.operators.aggregate import average_by, top_n, units_to_double, with_rank
 from tessera.operators.inspect import sample_rows as _sample
+from tessera.operators.inspect import schema_rows
 from tessera.operators.join import join_dimension, materialize
 from tessera.plans import orders as O
 from tessera.plans import ratings as R
@@ -104,6 +105,18 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, DOCUMENT_SCHEMA, keep_empty_strings=True)
 
 
+@query("csv_schema_inference", None, "SRC3 SNK4")
+def csv_schema_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as ``;`` CSV with a header, read back with type
+    inference (a full pass over the data), and the inferred schema as rows:
+    what ``printSchema`` shows.  Spark's inference rules have no SQL
+    equivalent, so this query gets a row-count check only; pytest checks
+    the inferred types."""
+    path = scratch_dir(spark, "orders-csv")
+    write_csv(T.read_table(spark, sf_dir, "orders"), path)
+    return schema_rows(spark, {"orders": read_csv(spark, path, infer=True)})
+
+
 @query(
     "sample_rows",
     "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority "

@@ -169,3 +169,13 @@ def test_land_csv_as_parquet(spark, scratch):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(id), EqualTo(id,2)]" in plan
     assert q.first().text == "plain"
+
+
+def test_csv_schema_inference_query(spark):
+    from tessera.plans.registry import load_all
+
+    rows = load_all()["csv_schema_inference"].fn(spark, "/root/testdata/sf0.001").collect()
+    got = {r.column: r.type for r in rows}
+    assert list(got) == ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    assert got["o_orderstatus"] == "string" and got["o_totalprice"] == "double"
+    assert got["o_orderkey"] in ("int", "bigint") and got["o_orderdate"].startswith("timestamp")
