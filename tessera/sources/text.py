@@ -65,3 +65,22 @@ def write_lines(df: DataFrame, path: str, value: Column | str = "value", partiti
     if partition_by:
         w = w.partitionBy(partition_by)
     w.text(path)
+
+
+def read_delimited_quoted(
+    spark: SparkSession, paths: str | Sequence[str], schema: str, delimiter: str = ",",
+) -> DataFrame:
+    """Headerless delimited files where a field may be quoted
+    (``7,"Good, The",Drama``), so a delimiter inside quotes does not shift
+    the columns.  Fields are converted by ``schema``; a value that does not
+    convert becomes NULL (the CSV reader's permissive mode)."""
+    if isinstance(paths, str):
+        paths = [paths]
+    return (
+        spark.read.schema(schema)
+        .option("sep", delimiter)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("header", "false")
+        .csv(list(paths))
+    )

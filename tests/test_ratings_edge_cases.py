@@ -150,3 +150,11 @@ def test_average_exact_for_any_partitioning(spark):
     one = sorted(average_by(df.repartition(1), ["k"], "v", "a", "n").collect())
     many = sorted(average_by(df.repartition(13), ["k"], "v", "a", "n").collect())
     assert one == many
+
+
+def test_quoted_mode_keeps_comma_titles_whole(spark, scratch):
+    from tessera.sources.text import read_delimited_quoted
+
+    path = _write(f"{scratch}/m.txt", ['7,"Good, The",Drama', "8,Plain,Comedy|Drama"])
+    rows = read_delimited_quoted(spark, path, "movie_id string, title string, genres string").collect()
+    assert sorted(tuple(r) for r in rows) == [("7", "Good, The", "Drama"), ("8", "Plain", "Comedy|Drama")]
