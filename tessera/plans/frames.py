@@ -26,7 +26,8 @@ from tessera.operators.frames import (
     packet_counters,
     parse_packets,
 )
-from tessera.operators.join import spread, union_all
+from tessera.operators.join import union_all
+from tessera.operators.partitioning import spread
 from tessera.plans.registry import query
 from tessera.session import scratch_dir
 from tessera.sources import tables as T

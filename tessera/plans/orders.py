@@ -30,7 +30,8 @@ from tessera.operators.aggregate import (
     top_n,
     with_rank,
 )
-from tessera.operators.join import join_dimension, materialize, union_all
+from tessera.operators.join import join_dimension, union_all
+from tessera.operators.partitioning import materialize
 from tessera.plans.registry import query
 from tessera.sources import tables as T
 

@@ -25,7 +25,8 @@ from tessera.functions.scalars import (
 from tessera.operators.aggregate import average_by, top_n, units_to_double, with_rank
 from tessera.operators.inspect import sample_rows as _sample
 from tessera.operators.inspect import schema_rows
-from tessera.operators.join import join_dimension, materialize
+from tessera.operators.join import join_dimension
+from tessera.operators.partitioning import materialize
 from tessera.plans import orders as O
 from tessera.plans import ratings as R
 from tessera.plans.registry import query

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tessera.operators.aggregate import average_by, pivot_average
 from tessera.operators.frames import latest_per_id
-from tessera.operators.join import join_dimension, spread
+from tessera.operators.join import join_dimension
+from tessera.operators.partitioning import spread
 
 
 def _skewed_ratings(spark, n=30_000, hot_user=7, hot_movie=3):
