@@ -156,7 +156,7 @@ def packet_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "packet_parse",
     f"WITH {SQL_LINES}\n{SQL_DECODED}",
-    "FIL6 FIL7 SCA3 SCA16 FIL5",
+    "FIL6 FIL7 SCA3 SCA16 FIL5 SRC4",
 )
 def packet_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded_page_frames(packet_lines_with_faults(spark, sf_dir))
@@ -252,7 +252,7 @@ def frame_counters_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     "latest_frame_per_id",
     f"""WITH {SQL_LATEST}
 SELECT frame_id, arrival, file_name, text, CAST(octet_length(encode(text)) AS INTEGER) AS n_bytes FROM latest""",
-    "STR3 SCA14",
+    "STR3 SCA14 SRC4",
 )
 def latest_frame_per_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = latest_conversation_frames(spark, sf_dir)

@@ -73,7 +73,7 @@ SELECT CAST(m.movie_id AS VARCHAR) AS movie_id, m.title,
        CAST(s.sm AS DOUBLE) / CAST(s.n AS DOUBLE) AS avg_rating, s.n AS total_ratings
 FROM m JOIN s ON m.movie_id = s.movie_id
 ORDER BY avg_rating DESC, title, movie_id""",
-    "SRC1 SRC2 SCA1 PRJ4 SET1 SRC4",
+    "SRC1 SRC2 SCA1 PRJ4 SET1",
 )
 def delimited_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Average rating per movie from headerless comma-separated text files:
