@@ -105,7 +105,7 @@ s AS (SELECT movie_id, SUM(CAST(rating AS DECIMAL(18,2))) AS sm, COUNT(rating) A
 SELECT m.movie_id, m.title, CAST(s.sm AS DOUBLE) / CAST(s.n AS DOUBLE) AS avg_rating, s.n AS total_ratings
 FROM m JOIN s ON m.movie_id = s.movie_id
 ORDER BY avg_rating DESC, title, movie_id""",
-    "SET1 AGG1 JOI1 SRT1 PRJ2 PRJ8 UDF2",
+    "AGG1 JOI1 SRT1 PRJ2 PRJ8 UDF2",
 )
 def avg_rating_by_movie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return movie_stats(spark, sf_dir).orderBy(F.desc("avg_rating"), "title", "movie_id")
