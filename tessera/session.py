@@ -7,6 +7,7 @@ session (with its own ``spark.checkpoint.dir``) is used as is.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -86,9 +87,41 @@ def checkpoint_root(spark: SparkSession) -> str:
     return local
 
 
+# Scratch folders made by this process.  Their files must outlive the query
+# call (the returned DataFrame reads them lazily) but not the process.
+_SCRATCH: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/tessera/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder below the shared checkpoint root, removed when
+    this Python process exits (set ``TESSERA_KEEP_SCRATCH=1`` to keep it)."""
+    path = f"{checkpoint_root(spark)}/tessera/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def filesystem_for(path: str):
+    """(pyarrow filesystem, path within it) for a local path or URI."""
+    from pyarrow import fs
+
+    if "://" not in path:
+        path = "file://" + path
+    if path.startswith("file:") and not path.startswith("file://"):
+        path = "file://" + path[len("file:"):]
+    return fs.FileSystem.from_uri(path)
+
+
+@atexit.register
+def _remove_scratch() -> None:
+    if os.environ.get("TESSERA_KEEP_SCRATCH"):
+        return
+    while _SCRATCH:
+        path = _SCRATCH.pop()
+        try:
+            filesystem, root = filesystem_for(path)
+            filesystem.delete_dir(root)
+        except Exception:  # already gone, never written, or not reachable
+            pass
 
 
 def local_path(path: str) -> str:

@@ -28,6 +28,8 @@ SCHEMA = "file_name string, content binary"
 
 
 def _filesystem(path: str):
+    # Same as tessera.session.filesystem_for, kept here on purpose: this
+    # module is shipped to executors by value and must not import the package.
     from pyarrow import fs
 
     if "://" not in path:

@@ -27,3 +27,24 @@ def test_entry_and_executor_code_from_foreign_folder(tmp_path):
         [sys.executable, "-c", SCRIPT], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600
     )
     assert "PORTABLE_OK" in out.stdout, out.stderr[-3000:]
+
+
+CLEANUP_SCRIPT = f"""
+import sys
+sys.path.insert(0, {REPO!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+from tessera.plans.registry import load_all
+from tessera import session
+load_all()["json_lines_message"].fn(spark, "/root/testdata/sf0.001").count()
+print("SCRATCH", session._SCRATCH[0])
+"""
+
+
+def test_scratch_removed_at_exit(tmp_path):
+    out = subprocess.run([sys.executable, "-c", CLEANUP_SCRIPT], cwd=tmp_path, capture_output=True,
+                         text=True, timeout=600)
+    line = [x for x in out.stdout.splitlines() if x.startswith("SCRATCH ")]
+    assert line, out.stderr[-2000:]
+    path = line[0].split(" ", 1)[1].replace("file:", "")
+    assert not os.path.exists(path)
