@@ -145,27 +145,39 @@ def b64_encode(c: ColumnOrName) -> Column:
 # Characters outside the base64 alphabet, and a text made only
 # of alphabet characters.
 B64_FOREIGN = "[^A-Za-z0-9+/=]"
-B64_ONLY_ALPHABET = "^[A-Za-z0-9+/=]*$"
+B64_ONLY_ALPHABET = r"^[A-Za-z0-9+/=]*\z"  # \z: absolute end ($ also matches before a final newline)
+B64_NON_ASCII = r"[^\x00-\x7F]"
 
 
 def b64_decode(c: ColumnOrName) -> Column:
-    """Lenient base64 decode to binary, NULL when the text is not valid.
+    """Lenient base64 decode to binary, NULL when the text is not valid --
+    Python's non-validating ``base64.b64decode``:
 
-    Semantics: characters outside the base64 alphabet are dropped first; the
-    cleaned text must then be a whole number of 4-character groups.  Invalid
-    input yields NULL instead of failing the job.
+    * text with a non-ASCII character is invalid (Python rejects such a str);
+    * other characters outside the base64 alphabet are ignored;
+    * with ``L`` data characters and ``P`` trailing ``=``: ``L % 4 == 0`` is
+      valid with any padding, ``L % 4 == 2`` needs ``P >= 2``, ``L % 4 == 3``
+      needs ``P >= 1``, ``L % 4 == 1`` is never valid.
 
-    Cost: text made only of alphabet characters (the normal case, and also
-    truncated payloads) is already clean, which one regex match tells; only
-    text with foreign characters pays for the character-class rewrite."""
-    c = _col(c)
-
-    def decode(t: Column) -> Column:
-        return F.when(F.length(t) % 4 == 0, F.try_to_binary(t, F.lit("base64")))
+    One difference is kept on purpose: an ``=`` followed by more data
+    characters gives NULL (Python skips it or stops decoding early).
 
-    return F.when(c.rlike(B64_ONLY_ALPHABET), decode(c)).otherwise(
-        decode(F.regexp_replace(c, B64_FOREIGN, ""))
+    Cost: text made only of alphabet characters (the normal case) needs no
+    rewrite; only text with foreign characters pays for the character-class
+    regex."""
+    c = _col(c)
+    clean = F.when(c.rlike(B64_ONLY_ALPHABET), c).when(
+        ~c.rlike(B64_NON_ASCII), F.regexp_replace(c, B64_FOREIGN, "")
+    )  # NULL (invalid) for non-ASCII text
+    data = F.rtrim(clean, F.lit("="))
+    n = F.length(data)
+    pads = F.length(clean) - n
+    rest = n % 4
+    valid = (F.instr(data, "=") == 0) & (
+        (rest == 0) | ((rest == 2) & (pads >= 2)) | ((rest == 3) & (pads >= 1))
     )
+    padded = F.when(rest == 0, data).otherwise(F.concat(data, F.substring(F.lit("=="), 1, 4 - rest)))
+    return F.when(valid, F.try_to_binary(padded, F.lit("base64")))
 
 
 def frame_file_name(frame_id: ColumnOrName) -> Column:

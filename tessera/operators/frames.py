@@ -67,13 +67,16 @@ def decode_packets(packets: DataFrame, payload_col: str = "payload", out_col: st
     """Decode the base64 payload; rows that do not decode to at least one
     byte are dropped.
 
-    The decoded value is kept through ``explode`` of a zero-or-one element
-    array rather than ``withColumn`` + ``filter``: Catalyst pushes a filter
-    below the projection by substituting the alias, which would run the
-    decode once in the filter and again in the projection."""
-    decoded = F.filter(F.array(b64_decode(payload_col)), lambda d: F.length(d) > 0)
+    The decode runs in a plain projection (generated code, where its shared
+    sub-expressions are computed once); the rows are then kept through
+    ``explode`` of a zero-or-one element array.  A ``filter`` on the decoded
+    column would be pushed below the projection with the alias substituted,
+    decoding twice, and decoding inside the higher-order function itself runs
+    without code generation."""
     others = [c for c in packets.columns if c != payload_col]
-    return packets.select(*others, F.explode(decoded).alias(out_col))
+    decoded = packets.select(*others, b64_decode(payload_col).alias(out_col))
+    kept = F.filter(F.array(out_col), lambda d: F.length(d) > 0)
+    return decoded.select(*others, F.explode(kept).alias(out_col))
 
 
 def _element_type(df: DataFrame, col: str) -> DataType:
@@ -136,11 +139,16 @@ def packet_counters(lines: DataFrame, value_col: str = "value") -> DataFrame:
     v = F.col(value_col)
     head, tail = split_first(v, PACKET_SEPARATOR)
     is_packet = v.contains(PACKET_SEPARATOR) & head.try_cast("bigint").isNotNull()
-    return lines.agg(
+    staged = lines.select(
+        (v == F.lit(END_MARKER)).alias("is_end"),
+        is_packet.alias("is_packet"),
+        F.length(b64_decode(tail)).alias("n_bytes"),
+    )
+    return staged.agg(
         F.count(F.lit(1)).alias("received"),
-        F.count_if(v == F.lit(END_MARKER)).alias("end_markers"),
-        F.count_if(is_packet).alias("packets"),
-        F.count_if(is_packet & (F.length(b64_decode(tail)) > 0)).alias("frames"),
+        F.count_if("is_end").alias("end_markers"),
+        F.count_if("is_packet").alias("packets"),
+        F.count_if(F.col("is_packet") & (F.col("n_bytes") > 0)).alias("frames"),
     )
 
 

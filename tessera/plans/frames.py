@@ -121,8 +121,13 @@ lines AS (SELECT CAST(page_id AS VARCHAR) || '|' || payload AS value FROM enc
 parsed AS (SELECT TRY_CAST(split_part(value, '|', 1) AS BIGINT) AS frame_id,
                   regexp_replace(substr(value, strpos(value, '|') + 1), '[^A-Za-z0-9+/=]', '', 'g') AS p
            FROM lines WHERE strpos(value, '|') > 0),
-dec AS (SELECT frame_id, CASE WHEN length(p) % 4 = 0 THEN from_base64(p) END AS data
-        FROM parsed WHERE frame_id IS NOT NULL)"""
+trimmed AS (SELECT frame_id, p, rtrim(p, '=') AS d FROM parsed WHERE frame_id IS NOT NULL),
+dec AS (SELECT frame_id,
+               CASE WHEN strpos(d, '=') = 0
+                     AND (length(d) % 4 = 0 OR (length(d) % 4 = 2 AND length(p) - length(d) >= 2)
+                          OR (length(d) % 4 = 3 AND length(p) - length(d) >= 1))
+                    THEN from_base64(d || repeat('=', (4 - length(d) % 4) % 4)) END AS data
+        FROM trimmed)"""
 SQL_DECODED = (
     "SELECT frame_id, CAST(octet_length(data) AS INTEGER) AS n_bytes, decode(data) AS text "
     "FROM dec WHERE data IS NOT NULL AND octet_length(data) > 0"
