@@ -95,3 +95,33 @@ def test_padding_matches_python(spark, texts):
     for r in rows:
         t = texts[r.i]
         assert (r.l, r.r) == (f"{t:>8}", f"{t:<8}"), repr(t)
+
+
+@SETTINGS
+@given(st.lists(st.one_of(
+    st.integers(min_value=-2_000_000_000, max_value=4_000_000_000),
+    st.builds(lambda d, off: d * 86_400 + off, st.integers(min_value=-20_000, max_value=40_000),
+              st.sampled_from([-1, 0, 1])),
+), min_size=300, max_size=300))
+def test_epoch_year_matches_python_utc(spark, secs):
+    import datetime as dt
+
+    from tessera.functions.scalars import epoch_year
+
+    df = spark.createDataFrame([(i, str(s)) for i, s in enumerate(secs)], "i int, ts string")
+    got = {r.i: r.y for r in df.select("i", epoch_year("ts").alias("y")).collect()}
+    for i, s in enumerate(secs):
+        assert got[i] == dt.datetime.fromtimestamp(s, dt.timezone.utc).year, s
+
+
+@SETTINGS
+@given(st.lists(st.integers(min_value=-5, max_value=120), min_size=200, max_size=200))
+def test_age_bucket_matches_rule(spark, ages):
+    from tessera.functions.scalars import age_bucket
+
+    def python_rule(a):
+        return "0-18" if a <= 18 else "18-35" if a <= 35 else "35-50" if a <= 50 else "50+"
+
+    df = spark.createDataFrame([(i, str(a)) for i, a in enumerate(ages)], "i int, age string")
+    got = {r.i: r.b for r in df.select("i", age_bucket("age").alias("b")).collect()}
+    assert all(got[i] == python_rule(a) for i, a in enumerate(ages))
