@@ -125,3 +125,18 @@ def test_age_bucket_matches_rule(spark, ages):
     df = spark.createDataFrame([(i, str(a)) for i, a in enumerate(ages)], "i int, age string")
     got = {r.i: r.b for r in df.select("i", age_bucket("age").alias("b")).collect()}
     assert all(got[i] == python_rule(a) for i, a in enumerate(ages))
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(st.none(), st.text(st.sampled_from(list('ab ;"\n\r\t,é') + ["\\"]), max_size=20)),
+                min_size=150, max_size=150))
+def test_csv_round_trip_keeps_any_text(spark, tmp_path_factory, texts):
+    from tessera.sources.csv import read_csv, write_csv
+
+    path = str(tmp_path_factory.mktemp("csvprop"))
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    write_csv(df, f"{path}/csv")
+    back = {r.id: r.text for r in read_csv(spark, f"{path}/csv", "id long, text string", keep_empty_strings=True).collect()}
+    assert len(back) == len(texts)
+    for i, t in enumerate(texts):
+        assert back[i] == t, repr(t)
