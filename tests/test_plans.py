@@ -80,3 +80,17 @@ def test_aggregate_partitioning_reused_by_join(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "SortMergeJoin" in plan
     assert len(re.findall(r"Exchange hashpartitioning\(movie_id", plan)) == 2
+
+
+# A limit is allowed only where it is the feature: top-1, top-10, 5-row sample.
+LIMIT_IS_THE_FEATURE = {
+    "best_movie_min_support", "top10_categories_share", "top10_subtotal_share",
+    "top10_report_text", "sample_rows",
+}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_row_caps(plans, name):
+    has_limit = bool(re.search(r"(GlobalLimit|LocalLimit|CollectLimit|TakeOrderedAndProject|\bLimit\b)", plans[name]))
+    if name not in LIMIT_IS_THE_FEATURE:
+        assert not has_limit, f"{name} caps rows"
