@@ -6,6 +6,7 @@ import binascii
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tessera.functions.scalars import (
     b64_decode,
@@ -140,3 +141,17 @@ def test_csv_round_trip_keeps_any_text(spark, tmp_path_factory, texts):
     assert len(back) == len(texts)
     for i, t in enumerate(texts):
         assert back[i] == t, repr(t)
+
+
+@settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(list("|.,;*+?$^()[]{}\\-#&~ ") + ["::", "a|"]),
+                          st.text(st.sampled_from(list("ab|.,;*+?$^()[]{}\\-#&~ :")), max_size=12)),
+                min_size=150, max_size=150))
+def test_split_literal_any_delimiter(spark, cases):
+    rows = [(i, d, t) for i, (d, t) in enumerate(cases)]
+    df = spark.createDataFrame(rows, "i int, d string, t string")
+    for delim in sorted({d for d, _ in cases}):
+        sub = df.filter(F.col("d") == delim).select("i", split_literal("t", delim).alias("parts")).collect()
+        for r in sub:
+            t = cases[r.i][1]
+            assert r.parts == t.split(delim), (delim, t)
