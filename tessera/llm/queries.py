@@ -7,9 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import quality_rules
+from tessera.llm import near_dedup, quality_rules, token_counts
 from tessera.llm.common import land, read_table
 
+#: The longest context a document may fill before op1 flags it.
+TOKEN_LIMIT = 2048
+
+
+def _vocabulary(name: str) -> str:
+    """Place of a public tokenizer file; the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -19,6 +30,21 @@ def _register(fn):
     return fn
 
 
+@_register
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count of every whole text, from its prefix table."""
+    counted = token_counts.prefix_token_counts(read_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+@_register
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document at Jaccard >= 0.85."""
+    found = near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
+    return found.select("doc_id", "n_shingles", "component_id",
+                        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 @_register
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
