@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import near_dedup, quality_rules, token_counts
+from tessera.llm import near_dedup, packing, quality_rules, token_counts, token_files
 from tessera.llm.common import land, read_table
+from tessera.session import scratch_dir
 
 #: The longest context a document may fill before op1 flags it.
 TOKEN_LIMIT = 2048
@@ -45,6 +46,28 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+@_register
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coded token files of all documents, read back."""
+    ids = land(token_files.token_ids(read_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json")), "op5-ids")
+    folder = scratch_dir(spark, "op5-files")
+    files = token_files.write_token_files(ids, folder)
+    if files.isEmpty():
+        return ids.select("doc_id", F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("n_tokens"),
+                          F.lit(0).cast("bigint").alias("ids_crc32"))
+    back = token_files.read_token_files(spark, folder)
+    return back.join(files.select("part", "seq", "start"), ["part", "seq"]).select(
+        "doc_id", (F.col("start") + F.col("in_file")).alias("start"), "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@_register
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens."""
+    pieces = packing.pack(read_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset", "window", "step_id")
+
+
 @_register
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
