@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import near_dedup, packing, quality_rules, token_counts, token_files
+from tessera.llm import near_dedup, packing, pii, quality_rules, token_counts, token_files
 from tessera.llm.common import land, read_table
 from tessera.session import scratch_dir
 
@@ -46,6 +46,21 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+#: Session setting with the pseudonym key; the fallback is for tests only.
+PII_KEY = "spark.tessera.piiKey"
+
+
+def _pii_key(spark: SparkSession) -> str:
+    return spark.conf.get(PII_KEY, "tessera-test-key")
+
+
+@_register
+def op4_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with pseudonyms, and how many values changed."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, _pii_key(spark), count_col="n_pseudonyms")
+
+
 @_register
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coded token files of all documents, read back."""
