@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import land, ship_package
 from tessera.llm.words import (
-    LOWER, Texts, U, mix, row_bounds, shingle_sets, span_hashes, text_slices,
+    LOWER, Texts, line_spans, mix, row_bounds, shingle_sets, span_hashes, text_slices,
 )
 
 #: Distinct documents of one host that may carry a line.
@@ -72,17 +72,9 @@ def _repeat_words(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _line_spans(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the \\n-split lines of all texts, in order."""
-    breaks = np.flatnonzero(texts.buf == 0x0A)
-    starts = np.sort(np.concatenate([texts.offsets[:-1], breaks + 1]), kind="stable")
-    ends = np.sort(np.concatenate([texts.offsets[1:], breaks]), kind="stable")
-    return starts, ends
-
-
 def _lines(texts: Texts, starts: np.ndarray, hashes: np.ndarray):
     """Per line with a word: text row, raw hash, normalised hash, words."""
-    line_start, line_end = _line_spans(texts)
+    line_start, line_end = line_spans(texts)
     first = np.searchsorted(starts, line_start)
     last = np.searchsorted(starts, line_end)
     full = last > first
@@ -99,7 +91,7 @@ def line_hashes(text: str) -> np.ndarray:
     low = Texts(0, LOWER[t.buf], t.offsets)
     starts, ends = low.words()
     hashes = span_hashes(low.buf, starts, ends)
-    line_start, line_end = _line_spans(low)
+    line_start, line_end = line_spans(low)
     first, last = np.searchsorted(starts, line_start), np.searchsorted(starts, line_end)
     out = np.zeros(len(parts), np.int64)
     full = last > first

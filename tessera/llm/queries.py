@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import near_dedup, packing, pii, quality_rules, token_counts, token_files
+from tessera.llm import (
+    decontaminate, near_dedup, packing, pii, quality_rules, substring_dedup, token_counts, token_files,
+)
 from tessera.llm.common import land, read_table
 from tessera.session import scratch_dir
 
@@ -46,6 +48,13 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+@_register
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in which benchmark items are found, one row per item."""
+    found = decontaminate.contaminations(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_windows", "item_windows", "verbatim")
+
+
 #: Session setting with the pseudonym key; the fallback is for tests only.
 PII_KEY = "spark.tessera.piiKey"
 
@@ -75,6 +84,13 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (F.col("start") + F.col("in_file")).alias("start"), "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@_register
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removed lines of all documents with their offsets and kept occurrence."""
+    return substring_dedup.removed_spans(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", "n_words", "kept_doc_id", "kept_start")
+
+
 @_register
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens."""

@@ -81,12 +81,12 @@ class Texts:
     def __len__(self) -> int:
         return len(self.offsets) - 1
 
-    def words(self) -> tuple[np.ndarray, np.ndarray]:
+    def words(self, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of all words."""
         n = len(self.buf)
         if n == 0:
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        sep = SEPARATOR[self.buf]
+        sep = separator[self.buf]
         bounds = self.offsets
         before = np.empty(n, bool)
         before[0], before[1:] = True, sep[:-1]
@@ -106,6 +106,14 @@ class Texts:
         return total[self.offsets[1:]] - total[self.offsets[:-1]]
 
 
+def line_spans(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the \\n-split lines of all texts, in order."""
+    breaks = np.flatnonzero(texts.buf == 0x0A)
+    starts = np.sort(np.concatenate([texts.offsets[:-1], breaks + 1]), kind="stable")
+    ends = np.sort(np.concatenate([texts.offsets[1:], breaks]), kind="stable")
+    return starts, ends
+
+
 def text_slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[Texts]:
     """Cut a string column (null: empty) into slices of about ``max_bytes``."""
     column = column.cast(pa.large_string()).fill_null("")
