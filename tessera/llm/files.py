@@ -22,13 +22,20 @@ def filesystem(uri: str):
 
 def write_file(folder: str, name: str, content) -> str:
     """Write ``folder/name`` in one step: a file under a name of its own, then
-    a rename, so a repeated or speculative task leaves one whole file.  Readers
+    a rename, so a repeated or speculative task leaves one whole file (tasks
+    are deterministic: every attempt writes the same content).  Readers
     skip names that start with an underscore."""
+    from pyarrow import fs
+
     store, root = filesystem(folder)
     store.create_dir(root, recursive=True)
     temporary = f"{root}/_{uuid.uuid4().hex}"
     with store.open_output_stream(temporary) as out:
         for part in content if isinstance(content, (list, tuple)) else [content]:
             out.write(part)
-    store.move(temporary, f"{root}/{name}")
+    target = f"{root}/{name}"
+    if store.get_file_info(target).type == fs.FileType.NotFound:
+        store.move(temporary, target)
+    else:  # an earlier attempt of the same task wrote the same content
+        store.delete_file(temporary)
     return f"{folder}/{name}"

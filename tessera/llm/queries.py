@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import (
-    decontaminate, near_dedup, packing, pii, quality_rules, substring_dedup, token_counts, token_files,
+    archives, decontaminate, near_dedup, packing, pii, quality_cnn, quality_rules, substring_dedup, token_counts,
+    token_files,
 )
 from tessera.llm.common import land, read_table
 from tessera.session import scratch_dir
@@ -99,6 +100,28 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset", "window", "step_id")
 
 
+@_register
+def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through ARC files and their conversion to WARC, read back."""
+    arcs, warcs = scratch_dir(spark, "op8-arc"), scratch_dir(spark, "op8-warc")
+    if archives.write_arc(read_table(spark, sf_dir, "pages"), arcs).isEmpty():
+        return spark.createDataFrame([], "page_id bigint, payload_bytes bigint, payload_digest string, "
+                                         "record_type string, refers_to bigint")
+    archives.convert(spark, arcs, warcs)
+    return archives.read_warc(spark, warcs).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_register
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by a network fitted on labelled rows."""
+    docs = read_table(spark, sf_dir, "documents")
+    net = quality_cnn.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality_cnn.score(docs, net).select(
+        "doc_id", quality_cnn.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= quality_cnn.THRESHOLD).cast("int").alias("predicted"))
+
+
 @_register
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
