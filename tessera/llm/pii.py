@@ -252,8 +252,8 @@ def pseudonym(text: Column, key: str, inverse: bool = False) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = None,
                  inverse: bool = False) -> DataFrame:
-    """The documents with pseudonyms in ``text_col``; ``count_col`` adds the
-    number of values that changed."""
+    """The documents with pseudonyms in ``text_col`` (``n_chars``, where
+    present, follows); ``count_col`` adds the number of values that changed."""
     columns = docs.columns
     text = F.col(text_col)
     found = docs.withColumn("__found", F.when(
@@ -263,7 +263,11 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     rebuilt = F.array_join(F.flatten(F.zip_with(
         gaps, F.col("__new"), lambda gap, new: F.array(gap, F.coalesce(new, F.lit(""))))), "")
     changed = F.when(F.col("__found").isNotNull(), rebuilt).otherwise(text)
-    out = [changed.alias(c) if c == text_col else F.col(c) for c in columns]
+    new = {text_col: changed}
+    if "n_chars" in columns and text_col != "n_chars":
+        new["n_chars"] = F.when(F.col("__found").isNotNull(), F.length(changed).cast(docs.schema["n_chars"].dataType)
+                                ).otherwise(F.col("n_chars"))
+    out = [new[c].alias(c) if c in new else F.col(c) for c in columns]
     if count_col:
         out.append(F.coalesce(F.size(F.filter(F.zip_with("__found", "__new", lambda a, b: a != b), lambda x: x)),
                               F.lit(0)).cast("bigint").alias(count_col))

@@ -18,7 +18,7 @@ from tessera.session import scratch_dir
 TOKEN_LIMIT = 2048
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     """Place of a public tokenizer file; the same on every machine."""
     import public_tokenizers
 
@@ -37,7 +37,7 @@ def _register(fn):
 @_register
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every whole text, from its prefix table."""
-    counted = token_counts.prefix_token_counts(read_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+    counted = token_counts.prefix_token_counts(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
@@ -60,7 +60,7 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 PII_KEY = "spark.tessera.piiKey"
 
 
-def _pii_key(spark: SparkSession) -> str:
+def pii_key(spark: SparkSession) -> str:
     return spark.conf.get(PII_KEY, "tessera-test-key")
 
 
@@ -68,13 +68,13 @@ def _pii_key(spark: SparkSession) -> str:
 def op4_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with pseudonyms, and how many values changed."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymise(docs, _pii_key(spark), count_col="n_pseudonyms")
+    return pii.pseudonymise(docs, pii_key(spark), count_col="n_pseudonyms")
 
 
 @_register
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coded token files of all documents, read back."""
-    ids = land(token_files.token_ids(read_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json")), "op5-ids")
+    ids = land(token_files.token_ids(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")), "op5-ids")
     folder = scratch_dir(spark, "op5-files")
     files = token_files.write_token_files(ids, folder)
     if files.isEmpty():
@@ -95,7 +95,7 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens."""
-    pieces = packing.pack(read_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+    pieces = packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset", "window", "step_id")
 
