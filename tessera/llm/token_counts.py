@@ -37,12 +37,27 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import ship_package
 
-MEMO_PIECES = 400_000
-MEMO_PAIRS = 1_000_000
+MEMO_PIECES = 1_000_000
+MEMO_PAIRS = 500_000
 _ODD_SPACE = re.compile(r"[\x1c-\x1f]")
 _SPACES = re.compile(r"[^\S\x1c-\x1f]+")
-_PLAIN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+")
-_PLAIN_PIECE = re.compile(r"[a-zß-öø-ÿ0-9!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+")
+_MARKS = r"!\"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~"
+# what the pre-tokenizer makes of lower-case text over ASCII and Latin-1 letters,
+# on which all Unicode versions agree; white space as one more kind of piece
+_PLAIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[{_MARKS}]+|[ \t\n\r]+")
+_CONTRACTIONS = {"'s", "'t", "'re", "'ve", "'m", "'ll", "'d"}
+#: Words share the states of their first characters.
+STEM = 6
+MEMO_STEMS = 100_000
+
+
+def _changes(counts: list[int]) -> bytes:
+    """Cumulative counts -> little-endian int16 changes (OverflowError should
+    one character change the count by more than that)."""
+    changes = array("h", map(sub, counts, [0, *counts]))
+    if sys.byteorder == "big":
+        changes.byteswap()
+    return changes.tobytes()
 
 
 class PrefixCounter:
@@ -80,7 +95,7 @@ class PrefixCounter:
         if "Lowercase" not in steps or split.get("type") != "Split" or split.get("behavior") != "Removed":
             raise ValueError(f"{path}: prefix counts need a lower-casing tokenizer that drops white space")
         self.memo: dict[str, bytes] = {}
-        self.words: dict[str, list[int]] = {}
+        self.stems: dict[str, tuple] = {}
         self.pairs: dict[tuple[str, str, bool], bool] = {}
 
     def _alone(self, token: str, final: bool) -> bool:
@@ -99,10 +114,13 @@ class PrefixCounter:
         kinds, longest, pairs = self.kinds, self.longest, self.pairs
         if len(pairs) > MEMO_PAIRS:
             pairs.clear()
-        last: list[str | None] = [""]  # last token of the prefix inside a longer word
-        count = [0]
-        ends = []
-        for i in range(1, len(word) + 1):
+        # last token of the prefix inside a longer word, its count, and the count as a word
+        stem = self.stems.get(word[:STEM]) if len(word) > STEM else None
+        last: list[str | None] = [""]
+        count, ends = [0], []
+        if stem is not None:
+            last, count, ends = stem[0][:], stem[1][:], stem[2][:]
+        for i in range(len(ends) + 1, len(word) + 1):
             inner, inner_count, final = None, 0, None
             for j in range(i - 1, i - longest - 1 if i > longest else -1, -1):
                 token = word[j:i]
@@ -131,6 +149,10 @@ class PrefixCounter:
             last.append(inner)
             count.append(inner_count)
             ends.append(final)
+            if i == STEM and len(word) > STEM:
+                if len(self.stems) > MEMO_STEMS:
+                    self.stems.clear()
+                self.stems[word[:STEM]] = (last[:], count[:], ends[:])
         if ends[-1] != len(self.tokenizer.model.tokenize(word)):
             raise ValueError(f"prefix count of {word!r} differs from the library")
         return ends
@@ -140,38 +162,27 @@ class PrefixCounter:
         special strings and without white space inside."""
         out: list[int] = []
         total = 0
-        if _PLAIN_PIECE.fullmatch(piece):
-            words = _PLAIN.findall(piece)
-        else:
-            words = [piece[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)]
+        words = [piece[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)]
         at = 0
         for word in words:
             gap = piece.index(word, at) - at
             out += [total] * gap  # characters that the pre-tokenizer drops
             at += gap + len(word)
-            if word[0] == "'" and len(word) > 1 and word[1].isalpha():
-                # a contraction: its shorter prefixes split otherwise
-                counts = [sum(self.word_counts(m)[-1] for m, _ in
-                              self.tokenizer.pre_tokenizer.pre_tokenize_str(word[:n]))
-                          for n in range(1, len(word) + 1)]
-            else:
-                counts = self.words.get(word)
-                if counts is None:
-                    ends = self.word_counts(self._mapped(word))
-                    # a code point of several bytes counts where its last byte ends
-                    counts = ends if word.isascii() else [
-                        ends[n - 1] for n in accumulate(len(c.encode()) for c in word)]
-                    if len(self.words) > MEMO_PIECES:
-                        self.words.clear()
-                    self.words[word] = counts
+            counts = self._counts(word)
             out += [total + c for c in counts]
             total += counts[-1]
         return out + [total] * (len(piece) - at)
 
-    def _mapped(self, word: str) -> str:
+    def _counts(self, word: str) -> list[int]:
+        """Cumulative counts per code point of one pre-tokenized word."""
+        pre = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        if word in _CONTRACTIONS:  # shorter prefixes split otherwise
+            return [sum(self.word_counts(m)[-1] for m, _ in pre(word[:n])) for n in range(1, len(word) + 1)]
         if word.isascii() and word.isprintable():
-            return word
-        return "".join(m for m, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(word))
+            return self.word_counts(word)
+        ends = self.word_counts("".join(m for m, _ in pre(word)))
+        # a code point of several bytes counts where its last byte ends
+        return [ends[n - 1] for n in accumulate(len(c.encode()) for c in word)]
 
     def _normal(self, text: str) -> str:
         if text.isascii():
@@ -194,31 +205,30 @@ class PrefixCounter:
                 table.append(total)
             elif counts:
                 total += counts[-1]
-        # array raises OverflowError should one character change the count by more than an int16
-        changes = array("h", map(sub, table, [0, *table]))
-        if sys.byteorder == "big":
-            changes.byteswap()
-        return changes.tobytes()
+        return _changes(table)
 
     def table(self, text: str) -> bytes:
         """Prefix table of a whole text."""
         if not text:
             return b""
-        if _ODD_SPACE.search(text):
-            pieces = [p for p in _SPACES.split(text) if p]
-        else:
-            pieces = text.split()
         memo = self.memo
-        missing = set(pieces).difference(memo)
-        if missing:
-            if len(memo) + len(missing) > MEMO_PIECES:
-                memo.clear()
-                missing = set(pieces)
-            for p in missing:
-                memo[p] = self.piece(p)
-        body = b"\0\0".join(map(memo.__getitem__, pieces))
+        if not (self.special and self.special.search(text)):
+            low = text.lower()
+            words = _PLAIN.findall(low)
+            if sum(map(len, words)) == len(low):
+                missing = set(words).difference(memo)
+                if missing:
+                    if len(memo) + len(missing) > MEMO_PIECES:
+                        memo.clear()
+                        missing = set(words)
+                    for w in missing:
+                        memo[w] = b"\0\0" if w.isspace() else _changes(self._counts(w))
+                return b"".join(map(memo.__getitem__, words))
+        # other scripts and special strings: between white space, by the library's own steps
+        pieces = [p for p in _SPACES.split(text) if p] if _ODD_SPACE.search(text) else text.split()
         if not pieces:
             return b"\0\0"
+        body = b"\0\0".join(map(self.piece, pieces))
         return b"\0\0" * bool(_SPACES.match(text)) + body + b"\0\0" * bool(_SPACES.match(text[-1]))
 
 
