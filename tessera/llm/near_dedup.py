@@ -8,13 +8,17 @@
    ``MISS``), so by pigeonhole they share an entry among their rarest
    ``coordinates - match_floor + 1`` ones: only these prefixes stay posted, and
    entries of a single node, which sort first, are skipped without being moved.
-3. Within a posting, pairs are built against one pivot node per round, counted
-   on whole signatures and, above the match threshold, confirmed on full
-   shingle sets.  Links contract nodes into components; pairs inside a
-   component are skipped from then on, so a posting of g alike nodes costs g
-   pairs, not g^2.  When few pairs between different components are left, all
-   of them are checked.  No pair of different components that shares a prefix
-   entry goes unchecked.
+3. While a posting holds many pairs, they are built against one pivot node per
+   round; links contract nodes into components, and pairs inside a component
+   are skipped from then on, so a posting of g alike nodes costs g pairs, not
+   g^2.  When few pairs between different components are left, or pivots stop
+   contracting, all of them are looked at: no pair of different components that
+   shares a prefix entry goes unchecked.
+4. A pair is emitted only if two lossless bounds allow the threshold: the ratio
+   of the set sizes, and the odd sketches (1024 parity bits of a set), whose
+   difference never exceeds the sets' symmetric difference.  Emitted pairs are
+   counted on whole signatures and, above the match floor, confirmed on full
+   shingle sets.
 
 Defined results: null or wordless text has no shingles, links with nothing and
 is kept; null doc_ids are allowed (they lose against any other id); repeated
@@ -41,8 +45,11 @@ SHINGLE_WORDS = 5
 MISS = 1e-8
 #: All remaining cross-component pairs are built at once when they are at most
 #: this many times the postings.
-EXPAND = 8
-_MAX_PIVOT_ROUNDS = 8
+EXPAND = 64
+#: Pivot rounds go on while each contracts at least this share of the postings.
+CONTRACT = 0.2
+SKETCH_WORDS = 16
+_SKETCH = [f"sketch_{i}" for i in range(SKETCH_WORDS)]
 _MIXED = np.random.Generator(np.random.PCG64(20240501)).integers(0, 1 << 63, (2, 4096), dtype=np.uint64)
 
 
@@ -66,6 +73,12 @@ def _signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
     return mix(least + np.arange(1, coordinates + 1, dtype=U) * U(0x9E3779B97F4A7C15))
 
 
+def _sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles at each of 1024 bits, as 16 words."""
+    odd = np.bincount((mix(shingles ^ U(0x5851F42D4C957F2D)) >> U(54)).astype(np.int64), minlength=1024) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _node(shingles: np.ndarray) -> int:
     """64-bit fingerprint of a shingle set."""
     a, b = shingles.sum(dtype=U), mix(shingles).sum(dtype=U)
@@ -77,30 +90,42 @@ def _signature_task(coordinates: int, k: int):
         for batch in batches:
             n = batch.num_rows
             sizes, nodes, entries, lengths = np.zeros(n, np.int64), [None] * n, [], np.zeros(n + 1, np.int32)
+            sketches = np.zeros((n, SKETCH_WORDS), np.int64)
             for texts in text_slices(batch.column("text")):
                 for r, shingles in enumerate(shingle_sets(texts, k), texts.first):
                     if len(shingles):
                         sizes[r], nodes[r], lengths[r + 1] = len(shingles), _node(shingles), coordinates
                         entries.append(_signature(shingles, coordinates))
+                        sketches[r] = _sketch(shingles)
             flat = np.concatenate(entries).view(np.int64) if entries else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes), pa.array(nodes, pa.int64()),
-                 pa.ListArray.from_arrays(np.cumsum(lengths, dtype=np.int32), pa.array(flat))],
-                names=["doc_id", "text_key", "n_shingles", "node", "entries"])
+                 pa.ListArray.from_arrays(np.cumsum(lengths, dtype=np.int32), pa.array(flat)),
+                 *[pa.array(sketches[:, i]) for i in range(SKETCH_WORDS)]],
+                names=["doc_id", "text_key", "n_shingles", "node", "entries", *_SKETCH])
 
     return run
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                coordinates: int = COORDINATES, k: int = SHINGLE_WORDS) -> DataFrame:
-    """Per document: set size, set fingerprint (null if empty), posted entries."""
+    """Per document: set size, set fingerprint (null if empty), posted entries, odd sketch."""
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"),
                        F.col(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
         _signature_task(coordinates, k),
-        f"doc_id {id_type}, text_key bigint, n_shingles bigint, node bigint, entries array<bigint>")
+        f"doc_id {id_type}, text_key bigint, n_shingles bigint, node bigint, entries array<bigint>, "
+        + ", ".join(f"{c} bigint" for c in _SKETCH))
+
+
+def _may_link(percent: int, left: str, right: str):
+    """Lossless bounds on two nodes' sets: size ratio and symmetric difference."""
+    a, b = F.col(f"{left}n_shingles"), F.col(f"{right}n_shingles")
+    differ = sum((F.bit_count(F.col(left + c).bitwiseXOR(F.col(right + c))) for c in _SKETCH), F.lit(0))
+    return ((100 * F.least(a, b) >= percent * F.greatest(a, b))
+            & (differ * (100 + percent) <= (100 - percent) * (a + b)))
 
 
 def prefix_postings(nodes: DataFrame, floor: int) -> DataFrame:
@@ -179,48 +204,50 @@ def link_components(nodes: DataFrame, postings: DataFrame, texts: DataFrame, flo
     """(node, root) over all confirmed links; None if there are none."""
     links: list[DataFrame] = []
     labels: DataFrame | None = None
-    for turn in range(_MAX_PIVOT_ROUNDS + 1):
+    bounds = ["n_shingles", *_SKETCH]
+    postings = land(postings.join(nodes.select("node", *bounds), "node"), "postings")
+    before, last = None, False
+    while not last:
         rows = postings
         if labels is None:
             rows = rows.withColumn("root", F.col("node"))
         else:
             rows = rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        per_root = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least"))
+        per_root = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
         per_key = per_root.groupBy("key").agg(
             F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("main"),
             F.count(F.lit(1)).alias("roots")).where("roots > 1")
-        live = land(rows.join(per_key.select("key", "size", F.col("main.root").alias("main"),
-                                             F.col("main.n").alias("main_n")), "key"), "postings")
+        live = land(rows.join(per_key.select("key", "size", F.col("main.root").alias("main")), "key"), "postings")
         total = live.agg(F.count(F.lit(1)).alias("rows"), F.sum(
             F.when(F.col("root") != F.col("main"), F.col("size")).otherwise(0)).alias("pairs")).first()
         if not total["rows"]:
             break
-        last = total["pairs"] <= EXPAND * total["rows"] or turn == _MAX_PIVOT_ROUNDS
-        stray = live.where("root <> main")
-        if last:  # every pair between different components
-            other = live.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-            found = (stray.select("key", F.col("node").alias("a"), F.col("root").alias("root_a"), "main")
-                     .join(other, "key")
-                     .where((F.col("root_a") != F.col("root_b"))
-                            & ((F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b")))))
+        slow = before is not None and total["rows"] > (1 - CONTRACT) * before
+        last, before = slow or total["pairs"] <= EXPAND * total["rows"], total["rows"]
+        one = live.select("key", "main", *[F.col(c).alias("a_" + c) for c in ("node", "root", *bounds)])
+        two = live.select("key", *[F.col(c).alias("b_" + c) for c in ("node", "root", *bounds)])
+        apart = (F.col("a_root") != F.col("b_root")) & _may_link(percent, "a_", "b_")
+        if last:  # every pair between different components; the first side is not in the main one
+            found = one.where("a_root <> main").join(two, "key").where(
+                apart & ((F.col("b_root") == F.col("main")) | (F.col("a_node") < F.col("b_node"))))
         else:  # one pivot per posting, against all that are not in its component
-            pivot = stray.groupBy("key").agg(F.min(F.struct("node", "root")).alias("pivot")).select(
-                "key", F.col("pivot.node").alias("b"), F.col("pivot.root").alias("root_b"))
-            beside = live.select("key", F.col("node").alias("a"), "root").join(pivot, "key")
-            found = beside.where("root <> root_b")
-            postings = land(beside.where("a <> b").select("key", F.col("a").alias("node")), "postings")
-        pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            pivot = live.where("root <> main").groupBy("key").agg(F.min("node").alias("pivot"))
+            pivots = two.join(pivot, "key").where("b_node = pivot").drop("pivot")
+            found = one.join(pivots, "key").where(apart)
+            postings = land(live.join(pivot, "key").where("node <> pivot").select("key", "node", *bounds), "postings")
+        pairs = found.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
         matched = land(_matching(pairs, nodes, floor), "pairs")
         # first each node's best partner; what that leaves apart comes after
         best = matched.groupBy("b").agg(F.max(F.struct("matches", "a")).alias("best")).select(
             F.col("best.a").alias("a"), "b")
         links.append(_confirm(best, texts, percent, k))
-        labels = components(links)
-        rest = _across(matched.select("a", "b").join(best, ["a", "b"], "left_anti"), labels)
-        links.append(_confirm(rest, texts, percent, k))
         labels = land(components(links), "labels")
-        if last:
-            break
+        rest = _across(matched.select("a", "b").join(best, ["a", "b"], "left_anti"), labels)
+        more = _confirm(rest, texts, percent, k)
+        if not more.isEmpty():
+            # contract along the stars found so far and the new links between them
+            links.append(more)
+            labels = land(components([labels.select(F.col("node").alias("a"), F.col("root").alias("b")), more]), "labels")
     return labels
 
 
@@ -233,7 +260,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     features = land(signatures(docs, id_col, text_col, coordinates, k), "signatures")
     nodes = land(features.where("node IS NOT NULL").groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("rep"),
-        F.count(F.lit(1)).alias("n_rows"), F.first("entries").alias("entries")), "nodes")
+        F.count(F.lit(1)).alias("n_rows"), *[F.first(c).alias(c) for c in ("n_shingles", "entries", *_SKETCH)]), "nodes")
     postings = land(_several(prefix_postings(nodes, floor)), "postings")
     wanted = nodes.join(postings.select("node").distinct(), "node", "left_semi").select(
         "node", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key"))
@@ -249,7 +276,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = members.where("n_rows > 1 OR root IS NOT NULL").withColumn("root", F.coalesce("root", "node"))
     least = members.groupBy("root").agg(F.min("rep").alias("least"))
     found = members.join(least, "root").select(F.col("node").alias("found"), "least")
-    joined = features.drop("entries").join(found, F.col("node") == F.col("found"), "left")
+    joined = features.select("doc_id", "text_key", "n_shingles", "node").join(found, F.col("node") == F.col("found"), "left")
     return joined.select(
         "doc_id", "text_key", "n_shingles",
         F.when(F.col("least").isNotNull(), F.col("least.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),

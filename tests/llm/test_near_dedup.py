@@ -45,7 +45,8 @@ def test_large_group_of_near_copies_takes_pivot_rounds(spark, monkeypatch):
     rng = random.Random(5)
     base = prose(rng, 150)
     texts = [perturbed(rng, base, 0.01) for _ in range(120)] + [prose(rng, 50) for _ in range(30)]
-    monkeypatch.setattr(near_dedup, "EXPAND", 0)  # no all-at-once step before the last round
+    monkeypatch.setattr(near_dedup, "EXPAND", 0)  # no all-at-once step while pivots contract
+    monkeypatch.setattr(near_dedup, "CONTRACT", 0.0)
     rows = near_dedup.near_duplicates(documents(spark, texts), percent=80).collect()
     want = components(texts, list(range(len(texts))), 80)
     assert [r["component_id"] for r in sorted(rows, key=lambda r: r["doc_id"])] == want
