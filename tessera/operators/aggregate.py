@@ -5,14 +5,12 @@ plans them as partial aggregation before the shuffle and final aggregation
 after it: a key holding a third of all rows is collapsed map-side and never
 lands as raw rows in one task.
 
-Sums of money and ratings are exact: each value is rounded half-up to
-``SUM_SCALE`` decimals and accumulated as an integer count of 10^-scale units
-(a ``bigint`` sum, which stays in generated code; a decimal sum above 18
-digits falls back to BigDecimal and ran 1.5-2x slower).  The result is the
-same for any partitioning, executor count or retry order (a double sum is
-not).  Headroom: 9.2e16 whole units per sum at scale 2; with ANSI mode (on
-by default, pinned by ``build_session``) an overflow fails the job instead of
-wrapping.  Averages are ``units / 10^scale / count`` in double.
+Sums are plain double sums by default, like the averages they feed.  Where the
+caller knows a column's scale, ``exact_sum`` (or ``scale=`` of the average
+builders) accumulates decimals instead: the same result for any partitioning,
+executor count or retry order.  A value that does not fit the scale, NaN and
+infinity included, fails the job, and so does a sum that overflows -- with ANSI
+mode on or off.
 """
 
 from __future__ import annotations
@@ -24,39 +22,46 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scalars import ColumnOrName, _col
 
-SUM_SCALE = 2
 
+def as_decimal(c: ColumnOrName, scale: int) -> Column:
+    """The value as ``decimal(18, scale)``; a value with more decimals, or too
+    large, fails the job."""
+    v = _col(c)
+    exact = v.try_cast(f"decimal(18,{scale})")
+    fits = exact.isNotNull() & (exact.cast("double") == v.cast("double"))
+    message = F.concat(F.lit(f"value does not fit scale {scale}: "), v.cast("string"))
+    return F.when(v.isNull() | fits, exact).otherwise(F.raise_error(message))
 
-def fixed_units(c: ColumnOrName, scale: int = SUM_SCALE) -> Column:
-    """Value as a whole number of 10^-scale units (half-up), ``bigint``."""
-    return F.round(_col(c) * float(10 ** scale)).cast("bigint")
 
+def checked_sum(c: ColumnOrName) -> Column:
+    """Sum of decimals; an overflow fails the job also where ANSI mode is off."""
+    v = _col(c)
+    return F.when(F.sum(v).isNull() & (F.count(v) > 0), F.raise_error(F.lit("decimal sum overflows"))
+                  ).otherwise(F.sum(v))
 
-def exact_sum(c: ColumnOrName, scale: int = SUM_SCALE) -> Column:
-    """Order-independent sum, in 10^-scale units (``bigint``)."""
-    return F.sum(fixed_units(c, scale))
 
+def exact_sum(c: ColumnOrName, scale: int) -> Column:
+    """Order-independent sum of values with at most ``scale`` decimals."""
+    return checked_sum(as_decimal(c, scale))
 
-def units_to_double(units: ColumnOrName, scale: int = SUM_SCALE) -> Column:
-    """A sum in 10^-scale units as a double (correctly rounded while the
-    unit count is below 2^53)."""
-    return _col(units).cast("double") / float(10 ** scale)
 
+def _sum(c: Column, scale: int | None) -> Column:
+    return F.sum(c.cast("double")) if scale is None else exact_sum(c, scale)
 
-def mean_of(total_units: ColumnOrName, count: ColumnOrName, scale: int = SUM_SCALE) -> Column:
-    """Average from a units sum and a count; NULL (not an error) for a zero
-    count."""
-    return F.try_divide(units_to_double(total_units, scale), _col(count).cast("double"))
+
+def mean_of(total: ColumnOrName, count: ColumnOrName) -> Column:
+    """Average from a sum and a count; NULL (not an error) for a zero count."""
+    return F.try_divide(_col(total).cast("double"), _col(count).cast("double"))
 
 
 def partial_sums(
     df: DataFrame, keys: Sequence[str], value: ColumnOrName, sum_name: str = "value_sum",
-    count_name: str = "value_count",
+    count_name: str = "value_count", scale: int | None = None,
 ) -> DataFrame:
-    """(keys, exact units sum, non-null count) -- the combinable ``(sum, count)`` pair
-    of an average, for re-aggregation at a coarser key later."""
+    """(keys, sum, non-null count) -- the combinable ``(sum, count)`` pair of an
+    average, for re-aggregation at a coarser key later."""
     v = _col(value)
-    return df.groupBy(*keys).agg(exact_sum(v).alias(sum_name), F.count(v).alias(count_name))
+    return df.groupBy(*keys).agg(_sum(v, scale).alias(sum_name), F.count(v).alias(count_name))
 
 
 def combine_sums(
@@ -83,15 +88,15 @@ def finish_average(
 
 def average_by(
     df: DataFrame, keys: Sequence[str], value: ColumnOrName,
-    avg_name: str = "avg_value", count_name: str = "value_count",
+    avg_name: str = "avg_value", count_name: str = "value_count", scale: int | None = None,
 ) -> DataFrame:
     """Average and count of ``value`` per key (one shuffle, map-side combine)."""
-    return finish_average(partial_sums(df, keys, value), avg_name, count_name)
+    return finish_average(partial_sums(df, keys, value, scale=scale), avg_name, count_name)
 
 
 def pivot_average(
     df: DataFrame, keys: Sequence[str], label_col: str, labels: Mapping[str, str],
-    value: ColumnOrName,
+    value: ColumnOrName, scale: int | None = None,
 ) -> DataFrame:
     """Average of ``value`` per key for each fixed label, one column per label.
 
@@ -103,7 +108,7 @@ def pivot_average(
     aggs = []
     for label, out_name in labels.items():
         picked = F.when(F.col(label_col) == F.lit(label), v)
-        aggs.append(mean_of(exact_sum(picked), F.count(picked)).alias(out_name))
+        aggs.append(mean_of(_sum(picked, scale), F.count(picked)).alias(out_name))
     return df.groupBy(*keys).agg(*aggs)
 
 
@@ -122,24 +127,6 @@ def distinct_count(df: DataFrame, c: ColumnOrName, name: str = "distinct_count")
     return row_count(df.select(_col(c).alias("_v")).distinct(), name)
 
 
-def distinct_count_non_null(df: DataFrame, c: ColumnOrName, name: str = "distinct_count") -> DataFrame:
-    """``count(distinct c)``: NULL is not counted."""
-    return df.agg(F.count_distinct(_col(c)).alias(name))
-
-
-def scalar_total(df: DataFrame, c: ColumnOrName) -> Column:
-    """Grand total of ``c`` as a scalar subquery: computed once by its own
-    job and used as a literal, so no single-partition window and no join."""
-    return df.select(F.sum(_col(c))).scalar()
-
-
-def with_share(df: DataFrame, value: ColumnOrName, total: Column, name: str = "pct") -> DataFrame:
-    """Add ``value * 100 / total`` (double, NULL when the total is 0)."""
-    return df.withColumn(
-        name, F.try_divide(_col(value).cast("double") * 100.0, total.cast("double"))
-    )
-
-
 def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     """First ``n`` rows by ``order`` (planned as TakeOrderedAndProject: each
     task keeps its own top ``n``, no full sort)."""

@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, StructField, StructType
 
 from tessera.functions.scalars import (
     BACKGROUND_VALUE,
@@ -98,7 +98,9 @@ def masked_replace(
     bg = F.lit(background).cast(_element_type(df, pixels))
     p, m = F.col(pixels), F.col(mask)
     ok = m.isNotNull() & p.isNotNull() & (F.size(m) == F.size(p))
-    swapped = F.zip_with(p, m, lambda x, y: F.when(y > threshold, bg).otherwise(x))
+    # compared in the mask's own type: a float 0.2 does not exceed 0.2
+    limit = F.lit(threshold).cast(_element_type(df, mask))
+    swapped = F.zip_with(p, m, lambda x, y: F.when(y > limit, bg).otherwise(x))
     return df.withColumn(flag, F.coalesce(ok, F.lit(False))).withColumn(
         out, F.when(F.col(flag), swapped).otherwise(p)
     )
@@ -113,8 +115,9 @@ def masked_replace_channels(
     bg = F.lit(background).cast(_element_type(df, pixels))
     p, m = F.col(pixels), F.col(mask)
     ok = m.isNotNull() & p.isNotNull() & (F.size(p) == F.size(m) * channels)
+    limit = F.lit(threshold).cast(_element_type(df, mask))
     swapped = F.transform(
-        p, lambda x, i: F.when(F.get(m, (i / channels).cast("int")) > threshold, bg).otherwise(x)
+        p, lambda x, i: F.when(F.get(m, (i / channels).cast("int")) > limit, bg).otherwise(x)
     )
     return df.withColumn(flag, F.coalesce(ok, F.lit(False))).withColumn(
         out, F.when(F.col(flag), swapped).otherwise(p)
@@ -163,13 +166,14 @@ def frame_counters(processed: DataFrame, flag: str = "replaced") -> DataFrame:
 
 def with_model_mask(
     df: DataFrame, pixels: str, mask_fn: Callable[[np.ndarray], np.ndarray], mask: str = "mask",
+    mask_type: DataType = ArrayType(DoubleType()),
 ) -> DataFrame:
     """Extension point for a segmentation model: ``mask_fn`` maps one
     frame's pixel array to its mask array and runs in Arrow batches on the
     executors (``mapInPandas``).  A frame whose model call raises gets a NULL
-    mask, which ``masked_replace`` turns into "kept as is"."""
-    elem = _element_type(df, pixels)
-    out_schema = StructType(df.schema.fields + [StructField(mask, ArrayType(elem), True)])
+    mask, which ``masked_replace`` turns into "kept as is".  The mask has a type
+    of its own: whole-number pixels may have a fractional mask."""
+    out_schema = StructType(df.schema.fields + [StructField(mask, mask_type, True)])
 
     def run(batches):
         for pdf in batches:

@@ -4,8 +4,7 @@ Strategy: no blanket broadcast hints.  The planner broadcasts a side only
 when its estimated size is under ``spark.sql.autoBroadcastJoinThreshold``,
 and AQE re-checks with the measured shuffle size at runtime; anything larger
 runs as a shuffled sort-merge join whose skewed partitions AQE splits
-(``spark.sql.adaptive.skewJoin.enabled``).  ``join_small`` adds an explicit
-hint only after counting that the side really is within a row bound.
+(``spark.sql.adaptive.skewJoin.enabled``).
 """
 
 from __future__ import annotations
@@ -13,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -22,16 +20,6 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str]) ->
     return fact.join(dim, on=on, how="inner")
 
 
-def join_small(
-    fact: DataFrame, dim: DataFrame, on: str | Sequence[str], max_rows: int
-) -> DataFrame:
-    """Inner join that broadcasts ``dim`` only if it has at most ``max_rows``
-    rows (checked with a bounded ``limit(max_rows + 1)`` count, which stops
-    after ``max_rows + 1`` rows); otherwise the planner's shuffled join."""
-    small = dim.limit(max_rows + 1).count() <= max_rows
-    return fact.join(F.broadcast(dim) if small else dim, on=on, how="inner")
-
-
 def union_all(*frames: DataFrame) -> DataFrame:
     """Bag union by column name (duplicates kept)."""
     out = frames[0]

@@ -1,40 +1,27 @@
-"""Partition layout and reuse: spreading small inputs over the cluster ahead
-of heavy per-row work, and computing a shared intermediate once."""
+"""Partition layout and reuse: partitions of a given row count, and computing a
+shared intermediate once."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, rows_per_partition: int | None = None) -> DataFrame:
-    """Round-robin repartition ahead of heavy per-row work.
-
-    Default: only when the frame has fewer partitions than the cluster can
-    run at once (a small input file read as one or two splits).  Large
-    inputs already have more splits than cores and are returned unchanged,
-    so no shuffle is added at scale.
-
-    ``rows_per_partition``: size partitions by row count instead,
-    ``max(1, n // rows_per_partition)`` partitions for ``n`` rows (one
-    counting job first) -- for very heavy per-row work such as model
-    inference on frames."""
-    if rows_per_partition:
-        return df.repartition(max(1, df.count() // rows_per_partition))
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no partition information (e.g. a remote session): leave as is
-        return df
-    return df.repartition(want) if have < want else df
+def sized_partitions(df: DataFrame, rows_per_partition: int) -> DataFrame:
+    """``max(1, n // rows_per_partition)`` partitions for ``n`` rows (one
+    counting job first) -- for very heavy per-row work such as model inference
+    on frames.  Scans size their own splits (``spark.sql.files.*``); nothing
+    else repartitions."""
+    return df.repartition(max(1, df.count() // rows_per_partition))
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Compute a (small) intermediate result once and cut its lineage, for a
     plan that reads it more than once (e.g. a grand total and a top-N of the
-    same grouped result).  Uses a reliable checkpoint in the shared
-    ``spark.checkpoint.dir``: one job computes and writes it, and a lost
-    executor cannot lose it."""
-    from tessera.session import checkpoint_root
-
-    checkpoint_root(df.sparkSession)  # make sure a checkpoint folder is set
-    return df.checkpoint(eager=True)
+    same grouped result).  One job writes it below the shared
+    ``spark.checkpoint.dir``, where a lost executor cannot lose it; it goes with
+    the other scratch folders when the process ends."""
+    from tessera.session import scratch_dir
+
+    path = scratch_dir(df.sparkSession, "materialized")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

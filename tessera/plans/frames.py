@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +26,10 @@ from tessera.operators.frames import (
     masked_replace_channels,
     packet_counters,
     parse_packets,
+    with_model_mask,
 )
 from tessera.operators.join import union_all
-from tessera.operators.partitioning import spread
+from tessera.operators.partitioning import sized_partitions
 from tessera.plans.registry import query
 from tessera.session import scratch_dir
 from tessera.sources import tables as T
@@ -36,15 +38,15 @@ from tessera.sources.packets import read_json_lines, read_packet_lines, write_js
 from tessera.streaming.packets import start_packet_stream
 
 # Stand-in rules for pixels/masks (fixed values).
-RGB_PIXELS, RGB_MASK = 63, 21          # 21 pixels x 3 channels, one mask value per pixel
+RGB_FACTORS = (1, -1, 2)               # three channels of a pixel, from one vector element
+ROWS_PER_PARTITION = 1000              # frames per partition ahead of heavy per-frame work
 NO_MASK_LABEL = 0                      # frames with this label have no mask
 SHORT_MASK_LABEL, SHORT_MASK_LEN = 1, 32  # frames with this label have a mask of the wrong length
 
 
 # ------------------------------------------------------------------ builders
 def page_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spread(T.read_table(spark, sf_dir, "pages"))
-    return encode_packets(pages, "page_id", "html", keep=["url"])
+    return encode_packets(T.read_table(spark, sf_dir, "pages"), "page_id", "html", keep=["url"])
 
 
 def packet_lines_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +73,7 @@ def decoded_page_frames(lines: DataFrame) -> DataFrame:
 def conversation_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames with repeated ids: parse + decode of conversation packets,
     arrival order = turn."""
-    conv = spread(T.read_table(spark, sf_dir, "conversations"))
+    conv = T.read_table(spark, sf_dir, "conversations")
     pk = encode_packets(conv, "conv_id", "text", keep=["turn"])
     return decode_packets(parse_packets(pk.select("turn", F.col("packet").alias("value")), keep=["turn"]))
 
@@ -97,11 +99,14 @@ def pixel_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rgb_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three interleaved channels from every element of the vector, which
+    itself is the mask: one value per pixel."""
     e = T.read_table(spark, sf_dir, "embeddings")
+    channels = F.transform("embedding", lambda x: F.array(*[(x * float(k)).cast("float") for k in RGB_FACTORS]))
     return e.select(
         F.col("vec_id").alias("frame_id"),
-        F.slice("embedding", 1, RGB_PIXELS).alias("pixels"),
-        F.when(F.col("label") != NO_MASK_LABEL, F.slice("embedding", 1, RGB_MASK)).alias("mask"),
+        F.flatten(channels).alias("pixels"),
+        F.when(F.col("label") != NO_MASK_LABEL, F.col("embedding")).alias("mask"),
     )
 
 
@@ -135,13 +140,14 @@ SQL_DECODED = (
 SQL_LATEST = """c AS (SELECT conv_id, turn, text FROM conversations WHERE octet_length(encode(text)) > 0),
 latest AS (SELECT conv_id AS frame_id, max(turn) AS arrival, printf('frame_%04d.jpg', conv_id) AS file_name,
                   arg_max(text, turn) AS text FROM c GROUP BY conv_id)"""
-SQL_RGB = f"""f AS (SELECT vec_id AS frame_id, list_slice(embedding, 1, {RGB_PIXELS}) AS px,
-                  CASE WHEN label <> {NO_MASK_LABEL} THEN list_slice(embedding, 1, {RGB_MASK}) END AS mask
+SQL_RGB = f"""f AS (SELECT vec_id AS frame_id,
+                  flatten(list_transform(embedding, lambda x: [{', '.join(f'CAST(x * {k} AS FLOAT)' for k in RGB_FACTORS)}])) AS px,
+                  CASE WHEN label <> {NO_MASK_LABEL} THEN embedding END AS mask
            FROM embeddings),
 g AS (SELECT frame_id, px, mask, COALESCE(mask IS NOT NULL AND px IS NOT NULL AND len(px) = len(mask) * 3, false) AS ok FROM f),
 out AS (SELECT frame_id,
                CASE WHEN ok THEN list_transform(generate_series(1, len(px)),
-                    lambda i: CASE WHEN CAST(mask[((i - 1) // 3) + 1] AS DOUBLE) > 0.2 THEN CAST(192 AS FLOAT) ELSE px[i] END)
+                    lambda i: CASE WHEN mask[((i - 1) // 3) + 1] > CAST(0.2 AS FLOAT) THEN CAST(192 AS FLOAT) ELSE px[i] END)
                     ELSE px END AS pixels,
                ok AS replaced FROM g)"""
 
@@ -152,16 +158,42 @@ out AS (SELECT frame_id,
     f"""WITH enc AS ({SQL_ENC})
 SELECT page_id AS frame_id, payload, CAST(length(payload) AS INTEGER) AS size,
        CAST(page_id AS VARCHAR) || '|' || payload AS packet FROM enc""",
-    "SCA15 SNK2 STR5 SCA17 SCA18",
+    "SCA15 SNK2 SCA17",
 )
 def packet_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_packets(spark, sf_dir).select("frame_id", "payload", "size", "packet")
 
 
+@query(
+    "packet_metadata",
+    f"""WITH enc AS ({SQL_ENC})
+SELECT page_id AS frame_id, page_id AS meta_frame_id, CAST(length(payload) AS INTEGER) AS meta_size, true AS stamped,
+       CAST(page_id AS VARCHAR) || '|' || payload AS packet FROM enc""",
+    "SCA18 STR5",
+)
+def packet_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets with their metadata struct; of its time only whether it is set."""
+    packets = encode_packets(T.read_table(spark, sf_dir, "pages"), "page_id", "html", with_metadata=True)
+    meta = F.col("metadata")
+    return packets.select("frame_id", meta["frame_id"].alias("meta_frame_id"), meta["size"].alias("meta_size"),
+                          meta["timestamp"].isNotNull().alias("stamped"), "packet")
+
+
+@query(
+    "packet_sized_partitions",
+    f"""WITH enc AS ({SQL_ENC})
+SELECT page_id AS frame_id, payload FROM enc""",
+    "SRC4 SCA15",
+)
+def packet_sized_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets in partitions of a set number of frames."""
+    return sized_partitions(page_packets(spark, sf_dir).select("frame_id", "payload"), ROWS_PER_PARTITION)
+
+
 @query(
     "packet_parse",
     f"WITH {SQL_LINES}\n{SQL_DECODED}",
-    "FIL6 FIL7 SCA3 SCA16 FIL5 SRC4",
+    "FIL6 FIL7 SCA3 SCA16 FIL5",
 )
 def packet_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded_page_frames(packet_lines_with_faults(spark, sf_dir))
@@ -221,7 +253,7 @@ def packet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 g AS (SELECT frame_id, px, mask, COALESCE(mask IS NOT NULL AND px IS NOT NULL AND len(px) = len(mask), false) AS ok FROM f)
 SELECT frame_id,
        CASE WHEN ok THEN list_transform(generate_series(1, len(px)),
-            lambda i: CASE WHEN CAST(mask[i] AS DOUBLE) > 0.2 THEN CAST(192 AS FLOAT) ELSE px[i] END)
+            lambda i: CASE WHEN mask[i] > CAST(0.2 AS FLOAT) THEN CAST(192 AS FLOAT) ELSE px[i] END)
             ELSE px END AS pixels,
        ok AS replaced
 FROM g""",
@@ -233,6 +265,27 @@ def masked_replace_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _model(pixels: np.ndarray) -> np.ndarray:
+    """Stand-in for a segmentation model: a mask value per pixel."""
+    return np.abs(pixels).astype(np.float64)
+
+
+@query(
+    "model_mask_replace",
+    """SELECT vec_id AS frame_id,
+       list_transform(embedding, lambda x: CASE WHEN CAST(abs(x) AS DOUBLE) > 0.2 THEN CAST(192 AS FLOAT) ELSE x END) AS pixels,
+       true AS replaced
+FROM embeddings""",
+    "UDF4 SCA21",
+)
+def model_mask_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masks made by a function on the executors, then replaced pixels."""
+    frames = T.read_table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("frame_id"), F.col("embedding").alias("pixels"))
+    return masked_replace(with_model_mask(frames, "pixels", _model), "pixels", "mask").select(
+        "frame_id", "pixels", "replaced")
+
+
 @query(
     "masked_replace_rgb",
     f"WITH {SQL_RGB}\nSELECT frame_id, pixels, replaced FROM out",
@@ -257,7 +310,7 @@ def frame_counters_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     "latest_frame_per_id",
     f"""WITH {SQL_LATEST}
 SELECT frame_id, arrival, file_name, text, CAST(octet_length(encode(text)) AS INTEGER) AS n_bytes FROM latest""",
-    "STR3 SCA14 SRC4",
+    "STR3 SCA14",
 )
 def latest_frame_per_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = latest_conversation_frames(spark, sf_dir)

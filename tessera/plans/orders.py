@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from tessera.functions.casts import in_closed_range, tolerant_cast
 from tessera.functions.scalars import in_year, label_or_default, percent_of
 from tessera.operators.aggregate import (
-    units_to_double,
+    as_decimal,
+    checked_sum,
     conditional_counts,
     count_by,
     distinct_count,
@@ -46,7 +47,8 @@ SQL_CUSTOMERS = (
 SQL_ORDERS = "SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS purchase_ts FROM orders"
 SQL_ITEMS = (
     "SELECT l_orderkey AS order_id, l_linenumber AS item_id, l_partkey AS product_id, "
-    "l_suppkey AS seller_id, l_extendedprice AS price, l_quantity AS freight FROM lineitem"
+    f"l_suppkey AS seller_id, l_extendedprice AS price, round(l_extendedprice * l_tax, {T.MONEY_SCALE}) AS freight "
+    "FROM lineitem"
 )
 SQL_PRODUCTS = "SELECT p_partkey AS product_id, p_brand AS category FROM part"
 SQL_REVIEWS = (
@@ -62,9 +64,11 @@ _WITH = (
     f"oy AS (SELECT order_id FROM o WHERE purchase_ts >= {Y0} AND purchase_ts < {Y1}), "
     "iy AS (SELECT i.*, p.category FROM i JOIN oy ON i.order_id = oy.order_id "
     "       JOIN p ON i.product_id = p.product_id), "
-    "cat AS (SELECT category, SUM(CAST(price + freight AS DECIMAL(18,2))) AS revenue, "
-    "        SUM(CAST(price AS DECIMAL(18,2))) AS price_total, SUM(CAST(freight AS DECIMAL(18,2))) AS freight_total, "
-    "        COUNT(item_id) AS item_count FROM iy GROUP BY category)"
+    f"cat AS (SELECT category, SUM(CAST(price AS DECIMAL(18,{T.MONEY_SCALE})) "
+    f"         + CAST(freight AS DECIMAL(18,{T.MONEY_SCALE}))) AS revenue, "
+    f"         SUM(CAST(price AS DECIMAL(18,{T.MONEY_SCALE}))) AS price_total, "
+    f"         SUM(CAST(freight AS DECIMAL(18,{T.MONEY_SCALE}))) AS freight_total, "
+    "         COUNT(item_id) AS item_count FROM iy GROUP BY category)"
 )
 
 
@@ -85,20 +89,21 @@ def orders_in_year(spark: SparkSession, sf_dir: str, year: int = T.TARGET_YEAR)
 
 def category_revenue(spark: SparkSession, sf_dir: str, year: int = T.TARGET_YEAR) -> DataFrame:
     """(category, revenue, price_total, freight_total, item_count) with exact
-    sums (in cents), for order items of orders placed in ``year``."""
+    decimal sums, for order items of orders placed in ``year``."""
     o = orders_in_year(spark, sf_dir, year).select("order_id")
     items = join_dimension(T.order_items(spark, sf_dir), o, "order_id")
     per_product = items.groupBy("product_id").agg(
-        exact_sum(F.col("price") + F.col("freight")).alias("revenue"),
-        exact_sum("price").alias("price_total"),
-        exact_sum("freight").alias("freight_total"),
+        # a row without freight adds to the price total only
+        checked_sum(as_decimal("price", T.MONEY_SCALE) + as_decimal("freight", T.MONEY_SCALE)).alias("revenue"),
+        exact_sum("price", T.MONEY_SCALE).alias("price_total"),
+        exact_sum("freight", T.MONEY_SCALE).alias("freight_total"),
         F.count("item_id").alias("item_count"),
     )
     with_cat = join_dimension(per_product, T.products(spark, sf_dir), "product_id")
     return with_cat.groupBy("category").agg(
-        F.sum("revenue").alias("revenue"),
-        F.sum("price_total").alias("price_total"),
-        F.sum("freight_total").alias("freight_total"),
+        checked_sum("revenue").alias("revenue"),
+        checked_sum("price_total").alias("price_total"),
+        checked_sum("freight_total").alias("freight_total"),
         F.sum("item_count").alias("item_count"),
     )
 
@@ -273,9 +278,9 @@ def revenue_by_category_year(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             "category",
             label_or_default("category").alias("category_label"),
-            units_to_double("revenue").alias("total_revenue"),
-            units_to_double("price_total").alias("total_price"),
-            units_to_double("freight_total").alias("total_freight"),
+            F.col("revenue").cast("double").alias("total_revenue"),
+            F.col("price_total").cast("double").alias("total_price"),
+            F.col("freight_total").cast("double").alias("total_freight"),
             F.col("item_count").cast("bigint").alias("item_count"),
         )
     )
@@ -290,7 +295,7 @@ SELECT (SELECT COUNT(*) FROM oy) AS orders_in_year, CAST((SELECT SUM(revenue) FR
 def revenue_total_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = category_revenue(spark, sf_dir).select(F.sum("revenue")).scalar()
     return row_count(orders_in_year(spark, sf_dir), "orders_in_year").select(
-        "orders_in_year", units_to_double(total).alias("total_revenue")
+        "orders_in_year", total.cast("double").alias("total_revenue")
     )
 
 
@@ -311,8 +316,8 @@ def top10_categories_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select(
         "rank",
         label_or_default("category").alias("category"),
-        units_to_double("revenue").alias("total_revenue"),
-        percent_of(units_to_double("revenue"), units_to_double(total)).alias("pct"),
+        F.col("revenue").cast("double").alias("total_revenue"),
+        percent_of(F.col("revenue").cast("double"), total.cast("double")).alias("pct"),
     ).orderBy("rank")
 
 
@@ -331,8 +336,8 @@ def top10_subtotal_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = cats.select(F.sum("revenue")).scalar()
     n_groups = cats.select(F.count(F.lit(1))).scalar()
     return top_n(cats, TOP_N, revenue_order()).agg(F.sum("revenue").alias("top")).select(
-        units_to_double("top").alias("top_revenue"),
-        percent_of(units_to_double("top"), units_to_double(total)).alias("top_pct"),
+        F.col("top").cast("double").alias("top_revenue"),
+        percent_of(F.col("top").cast("double"), total.cast("double")).alias("top_pct"),
         n_groups.alias("category_count"),
     )
 

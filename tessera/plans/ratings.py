@@ -48,14 +48,14 @@ SQL_USERS = (
     "FROM supplier"
 )
 SQL_OCCUPATIONS = "SELECT n_nationkey AS occupation_id, n_name AS occupation FROM nation"
-SQL_AVG = "CAST(SUM(CAST({v} AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT({v}) AS DOUBLE)"
+SQL_AVG = "SUM({v}) / CAST(COUNT({v}) AS DOUBLE)"
 
 
 def _avg_sql(v: str, where: str | None = None) -> str:
     if where is None:
         return SQL_AVG.format(v=v)
     return (
-        f"CAST(SUM(CAST({v} AS DECIMAL(18,2))) FILTER (WHERE {where}) AS DOUBLE) / "
+        f"SUM({v}) FILTER (WHERE {where}) / "
         f"CAST(COUNT({v}) FILTER (WHERE {where}) AS DOUBLE)"
     )
 
@@ -101,7 +101,7 @@ def movie_age_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "avg_rating_by_movie",
     f"""{_WITH},
-s AS (SELECT movie_id, SUM(CAST(rating AS DECIMAL(18,2))) AS sm, COUNT(rating) AS n FROM r GROUP BY movie_id)
+s AS (SELECT movie_id, SUM(rating) AS sm, COUNT(rating) AS n FROM r GROUP BY movie_id)
 SELECT m.movie_id, m.title, CAST(s.sm AS DOUBLE) / CAST(s.n AS DOUBLE) AS avg_rating, s.n AS total_ratings
 FROM m JOIN s ON m.movie_id = s.movie_id
 ORDER BY avg_rating DESC, title, movie_id""",
@@ -114,7 +114,7 @@ def avg_rating_by_movie(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "best_movie_min_support",
     f"""{_WITH},
-s AS (SELECT movie_id, SUM(CAST(rating AS DECIMAL(18,2))) AS sm, COUNT(rating) AS n FROM r GROUP BY movie_id)
+s AS (SELECT movie_id, SUM(rating) AS sm, COUNT(rating) AS n FROM r GROUP BY movie_id)
 SELECT m.movie_id, m.title, CAST(s.sm AS DOUBLE) / CAST(s.n AS DOUBLE) AS avg_rating, s.n AS total_ratings
 FROM m JOIN s ON m.movie_id = s.movie_id
 WHERE s.n >= {MIN_SUPPORT}
@@ -132,7 +132,7 @@ def best_movie_min_support(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "avg_rating_by_genre",
     f"""{_WITH},
-s AS (SELECT movie_id, SUM(CAST(rating AS DECIMAL(18,2))) AS sm, COUNT(rating) AS n FROM r GROUP BY movie_id),
+s AS (SELECT movie_id, SUM(rating) AS sm, COUNT(rating) AS n FROM r GROUP BY movie_id),
 g AS (SELECT unnest(string_split(m.genres, '|')) AS genre, s.sm, s.n FROM m JOIN s ON m.movie_id = s.movie_id)
 SELECT genre, CAST(SUM(sm) AS DOUBLE) / CAST(SUM(n) AS DOUBLE) AS avg_rating, CAST(SUM(n) AS BIGINT) AS total_ratings
 FROM g GROUP BY genre
@@ -229,7 +229,7 @@ def movie_gender_avg_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     "avg_rating_by_occupation",
     f"""{_WITH},
 j AS (SELECT u.occupation_id, r.rating FROM r JOIN u ON r.user_id = u.user_id),
-a AS (SELECT occupation_id, SUM(CAST(rating AS DECIMAL(18,2))) AS sm, COUNT(rating) AS n FROM j GROUP BY occupation_id)
+a AS (SELECT occupation_id, SUM(rating) AS sm, COUNT(rating) AS n FROM j GROUP BY occupation_id)
 SELECT o.occupation_id, o.occupation, CAST(a.sm AS DOUBLE) / CAST(a.n AS DOUBLE) AS avg_rating, a.n AS total_ratings
 FROM o JOIN a ON o.occupation_id = a.occupation_id
 ORDER BY avg_rating DESC, occupation""",

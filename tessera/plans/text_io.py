@@ -22,7 +22,7 @@ from tessera.functions.scalars import (
     pad_right,
     percent_of,
 )
-from tessera.operators.aggregate import average_by, top_n, units_to_double, with_rank
+from tessera.operators.aggregate import average_by, top_n, with_rank
 from tessera.operators.inspect import sample_rows as _sample
 from tessera.operators.inspect import schema_rows
 from tessera.operators.join import join_dimension
@@ -68,7 +68,7 @@ def write_rating_files(spark: SparkSession, sf_dir: str) -> dict[str, object]:
 @query(
     "delimited_parse",
     f"""{R._WITH},
-s AS (SELECT movie_id, SUM(CAST(rating AS DECIMAL(18,2))) AS sm, COUNT(rating) AS n FROM r GROUP BY movie_id)
+s AS (SELECT movie_id, SUM(rating) AS sm, COUNT(rating) AS n FROM r GROUP BY movie_id)
 SELECT CAST(m.movie_id AS VARCHAR) AS movie_id, m.title,
        CAST(s.sm AS DOUBLE) / CAST(s.n AS DOUBLE) AS avg_rating, s.n AS total_ratings
 FROM m JOIN s ON m.movie_id = s.movie_id
@@ -210,9 +210,9 @@ def category_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat_ws(
         " ",
         pad_right(label, CATEGORY_WIDTH),
-        pad_left(format_thousands(units_to_double("revenue"), 2), MONEY_WIDTH),
-        pad_left(format_thousands(units_to_double("price_total"), 2), MONEY_WIDTH),
-        pad_left(format_thousands(units_to_double("freight_total"), 2), MONEY_WIDTH),
+        pad_left(format_thousands(F.col("revenue").cast("double"), 2), MONEY_WIDTH),
+        pad_left(format_thousands(F.col("price_total").cast("double"), 2), MONEY_WIDTH),
+        pad_left(format_thousands(F.col("freight_total").cast("double"), 2), MONEY_WIDTH),
         pad_left(format_thousands("item_count", 0), COUNT_WIDTH),
     )
     return cats.orderBy(*O.revenue_order()).select(label.alias("category"), line.alias("line"))
@@ -240,8 +240,8 @@ def top10_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
             " ",
             pad_left(F.col("rank"), RANK_WIDTH),
             pad_right(label_or_default("category"), CATEGORY_WIDTH),
-            pad_left(format_thousands(units_to_double("revenue"), 2), TOP_MONEY_WIDTH),
-            pad_left(format2(percent_of(units_to_double("revenue"), units_to_double(total))), PCT_WIDTH),
+            pad_left(format_thousands(F.col("revenue").cast("double"), 2), TOP_MONEY_WIDTH),
+            pad_left(format2(percent_of(F.col("revenue").cast("double"), total.cast("double"))), PCT_WIDTH),
         ),
         F.lit("%"),
     )

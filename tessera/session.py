@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -21,8 +22,6 @@ from pyspark.sql import SparkSession
 # largest stage.
 _BASE_CONF = {
     "spark.ui.enabled": "false",
-    "spark.driver.bindAddress": "127.0.0.1",
-    "spark.driver.host": "127.0.0.1",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
@@ -45,18 +44,23 @@ def build_session(
 ) -> SparkSession:
     """Create (or reuse) a session with the settings the plans assume.
 
-    ``master`` defaults to ``local[$BENCH_CPUS]`` (or ``local[*]``).  The
+    ``master`` defaults to ``local[$BENCH_CPUS]`` (or ``local[*]``), unless the
+    process was started by a launcher that has chosen one already.  The
     shuffle-partition count defaults to 2x the local cores; on a cluster set
     it from the data size (about 128 MB per partition of the largest shuffle)
     and let AQE coalesce.
     """
     cpus = os.environ.get("BENCH_CPUS")
+    launched = master is None and not cpus and "PYSPARK_GATEWAY_PORT" in os.environ
     if master is None:
         master = f"local[{cpus}]" if cpus else "local[*]"
     if shuffle_partitions is None:
         shuffle_partitions = 2 * (int(cpus) if cpus else (os.cpu_count() or 8))
-    builder = SparkSession.builder.master(master).appName(app_name)
+    builder = SparkSession.builder.appName(app_name)
     conf = dict(_BASE_CONF)
+    if not launched:
+        builder = builder.master(master)
+        conf |= {"spark.driver.bindAddress": "127.0.0.1", "spark.driver.host": "127.0.0.1"}
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
     for key, value in conf.items():
@@ -77,7 +81,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder "
             "(HDFS, object store or shared mount) for this cluster"
@@ -108,6 +112,9 @@ def filesystem_for(path: str):
         path = "file://" + path
     if path.startswith("file:") and not path.startswith("file://"):
         path = "file://" + path[len("file:"):]
+    for scheme in ("s3a://", "s3n://"):  # the names Spark uses for the same store
+        if path.startswith(scheme):
+            path = "s3://" + path[len(scheme):]
     return fs.FileSystem.from_uri(path)
 
 
@@ -122,12 +129,3 @@ def _remove_scratch() -> None:
             filesystem.delete_dir(root)
         except Exception:  # already gone, never written, or not reachable
             pass
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs can use the path."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path

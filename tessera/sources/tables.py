@@ -127,6 +127,10 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Decimals of prices and freights.
+MONEY_SCALE = 4
+
+
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(order_id, item_id, product_id, seller_id, price, freight)."""
     return read_table(spark, sf_dir, "lineitem").select(
@@ -135,7 +139,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("seller_id"),
         F.col("l_extendedprice").alias("price"),
-        F.col("l_quantity").alias("freight"),
+        F.round(F.col("l_extendedprice") * F.col("l_tax"), MONEY_SCALE).alias("freight"),
     )
 
 

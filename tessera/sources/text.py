@@ -2,7 +2,7 @@
 
 A delimited record is split positionally on a literal delimiter with no
 quoting and no trimming, like ``line.split(',')``.  In strict mode a short
-line or a bad number fails the job (ANSI ``arr[i]`` / ``cast``); in tolerant
+line or a bad number fails the job; in tolerant
 mode they become NULL.
 """
 
@@ -51,9 +51,9 @@ def parse_delimited(
 
 
 def to_delimited_line(cols: Sequence[Column | str], delimiter: str = ",") -> Column:
-    """Join columns into one text line (NULL fields are skipped, as
-    ``concat_ws`` does)."""
-    return F.concat_ws(delimiter, *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols])
+    """Join columns into one text line; a NULL field is empty and keeps its place."""
+    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in cols]
+    return F.concat_ws(delimiter, *parts)
 
 
 def write_lines(df: DataFrame, path: str, value: Column | str = "value", partition_by: str | None = None) -> None:

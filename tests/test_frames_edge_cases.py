@@ -77,6 +77,22 @@ def test_mask_threshold(spark):
     assert r.pixels == [10.0, 20.0, 192.0, 192.0] and r.replaced is True
 
 
+def test_mask_threshold_in_the_masks_own_type(spark):
+    for t in ("float", "double", "decimal(5,2)"):
+        df = spark.createDataFrame([(1, [10, 20, 30])], "frame_id long, pixels array<int>").selectExpr(
+            "*", f"transform(array('0.2', '0.3', '0.0'), x -> cast(x AS {t})) AS mask")
+        assert masked_replace(df, "pixels", "mask").first().pixels == [10, 192, 30]
+
+
+def test_model_mask_on_integer_pixels(spark):
+    from tessera.operators.frames import with_model_mask
+
+    df = spark.createDataFrame([(1, [10, 20, 30])], "frame_id long, pixels array<int>")
+    masked = with_model_mask(df, "pixels", lambda p: p / 100.0)
+    r = masked_replace(masked, "pixels", "mask").first()
+    assert r.pixels == [10, 20, 192] and r.replaced is True
+
+
 def test_mask_null_or_wrong_length_keeps_original(spark):
     df = spark.createDataFrame(
         [(1, [1.0, 2.0], None), (2, [1.0, 2.0], [1.0])],

@@ -82,6 +82,14 @@ def test_aggregate_partitioning_reused_by_join(spark):
     assert len(re.findall(r"Exchange hashpartitioning\(movie_id", plan)) == 2
 
 
+# Partitions of a set size are the feature of one query; no other plan deals
+# raw rows out round-robin.
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_round_robin(plans, name):
+    if name != "packet_sized_partitions":
+        assert "RoundRobinPartitioning" not in plans[name]
+
+
 # A limit is allowed only where it is the feature: top-1, top-10, 5-row sample.
 LIMIT_IS_THE_FEATURE = {
     "best_movie_min_support", "top10_categories_share", "top10_subtotal_share",

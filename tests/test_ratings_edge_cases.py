@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scalars import age_bucket, epoch_year, explode_delimited
 from tessera.operators.aggregate import average_by, best_with_support, pivot_average
-from tessera.operators.join import join_dimension, join_small, union_all
+from tessera.operators.join import join_dimension, union_all
 from tessera.sources.text import parse_delimited, read_lines
 
 
@@ -73,16 +73,6 @@ def test_null_keys_never_match(spark):
     assert join_dimension(a, b, "k").count() == 0
 
 
-def test_join_small_broadcasts_only_under_bound(spark):
-    fact = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    dim = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "k int, w string")
-    small = join_small(fact, dim, "k", max_rows=5)
-    big = join_small(fact, dim, "k", max_rows=2)
-    assert sorted(small.collect()) == sorted(big.collect())
-    assert "broadcast" in small._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString()
-
-
 def test_support_threshold(spark):
     rows = [("a", 5.0)] * 4 + [("b", 3.0)] * 5
     r = spark.createDataFrame(rows, "movie_id string, rating double")
@@ -144,12 +134,47 @@ def test_union_all_keeps_duplicates(spark):
     assert union_all(a, a, a).count() == 3
 
 
-def test_average_exact_for_any_partitioning(spark):
-    vals = [(i % 7, 0.1 * (i % 13)) for i in range(2000)]
+def test_average_keeps_all_decimals(spark):
+    df = spark.createDataFrame([("a", 0.004), ("a", 0.004), ("b", 1.005), ("c", 3.333), ("c", 3.333)], "k string, v double")
+    for ansi in ("true", "false"):
+        old = spark.conf.get("spark.sql.ansi.enabled")
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            got = {r.k: r.a for r in average_by(df, ["k"], "v", "a", "n").collect()}
+            odd = spark.createDataFrame([(float("nan"),), (1.0,)], "v double").selectExpr("1 AS k", "v")
+            big = spark.createDataFrame([(1e18,), (1.0,)], "v double").selectExpr("1 AS k", "v")
+            assert average_by(odd, ["k"], "v", "a", "n").selectExpr("isnan(a) AS x").first().x
+            assert average_by(big, ["k"], "v", "a", "n").first().a == (1e18 + 1.0) / 2
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", old)
+        assert got == {"a": 0.004, "b": 1.005, "c": 3.333}
+
+
+def test_exact_average_is_the_true_mean_for_any_partitioning(spark):
+    from decimal import Decimal
+
+    vals = [(i % 7, round(0.0001 * (i * 37 % 9973), 4)) for i in range(2000)]
     df = spark.createDataFrame(vals, "k int, v double")
-    one = sorted(average_by(df.repartition(1), ["k"], "v", "a", "n").collect())
-    many = sorted(average_by(df.repartition(13), ["k"], "v", "a", "n").collect())
-    assert one == many
+    want = {}
+    for k, v in vals:
+        total, n = want.get(k, (Decimal(0), 0))
+        want[k] = (total + Decimal(str(v)), n + 1)
+    for parts in (1, 13):
+        got = {r.k: r.a for r in average_by(df.repartition(parts), ["k"], "v", "a", "n", scale=4).collect()}
+        assert got == {k: float(t) / n for k, (t, n) in want.items()}
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("value", [0.12345, float("nan"), 1e17])
+def test_exact_sum_fails_on_a_value_that_does_not_fit(spark, ansi, value):
+    df = spark.createDataFrame([(1, value)], "k int, v double")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="does not fit scale"):
+            average_by(df, ["k"], "v", "a", "n", scale=4).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
 
 
 def test_quoted_mode_keeps_comma_titles_whole(spark, scratch):
@@ -158,3 +183,24 @@ def test_quoted_mode_keeps_comma_titles_whole(spark, scratch):
     path = _write(f"{scratch}/m.txt", ['7,"Good, The",Drama', "8,Plain,Comedy|Drama"])
     rows = read_delimited_quoted(spark, path, "movie_id string, title string, genres string").collect()
     assert sorted(tuple(r) for r in rows) == [("7", "Good, The", "Drama"), ("8", "Plain", "Comedy|Drama")]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strict_fields_fail_and_null_fields_keep_their_place(spark, ansi):
+    from tessera.sources.text import parse_delimited, to_delimited_line
+
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        fields, types = {0: "a", 1: "b", 2: "c"}, {"c": "double"}
+        for bad in ("1,2,x", "1,2"):
+            lines = spark.createDataFrame([(bad,)], "value string")
+            with pytest.raises(Exception):
+                parse_delimited(lines, fields, types).collect()
+            assert parse_delimited(lines, fields, types, strict=False).first().c is None
+        df = spark.createDataFrame([(None, 7, 4.0)], "user long, movie long, rating double")
+        line = df.select(to_delimited_line(["user", "movie", "rating"]).alias("value"))
+        assert line.first().value == ",7,4.0"
+        assert parse_delimited(line, {0: "user", 1: "movie"}, {"movie": "long"}).first().movie == 7
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.operators.aggregate import average_by, pivot_average
 from tessera.operators.frames import latest_per_id
 from tessera.operators.join import join_dimension
-from tessera.operators.partitioning import spread
+from tessera.operators.partitioning import sized_partitions
 
 
 def _skewed_ratings(spark, n=30_000, hot_user=7, hot_movie=3):
@@ -21,23 +21,23 @@ def _skewed_ratings(spark, n=30_000, hot_user=7, hot_movie=3):
         rows.append((
             hot_user if i % 3 == 0 else rnd.randrange(1, 500),
             hot_movie if i % 3 == 1 else rnd.randrange(1, 300),
-            rnd.randrange(1, 1_000_000) / 100.0,
+            rnd.randrange(1, 100_000_000) / 10_000.0,
         ))
     return spark.createDataFrame(rows, "user_id long, movie_id long, rating double").repartition(8)
 
 
 def _exact_means(pdf, key):
-    """Brute force: integer cents summed in Python, then cents/100/count."""
+    """Brute force: exact fractions of the doubles as written, four decimals."""
     out = {}
     for k, g in pdf.groupby(key):
-        cents = sum(int(round(v * 100)) for v in g["rating"])
-        out[k] = (cents / 100.0 / len(g), len(g))
+        units = sum(int(round(v * 10_000)) for v in g["rating"])
+        out[k] = (units / 10_000.0 / len(g), len(g))
     return out
 
 
 def test_hot_key_average_exact(spark):
     r = _skewed_ratings(spark)
-    got = {x.movie_id: (x.avg, x.n) for x in average_by(r, ["movie_id"], "rating", "avg", "n").collect()}
+    got = {x.movie_id: (x.avg, x.n) for x in average_by(r, ["movie_id"], "rating", "avg", "n", scale=4).collect()}
     want = _exact_means(r.toPandas(), "movie_id")
     assert len(got) == len(want)
     for movie, (mean, n) in want.items():
@@ -69,7 +69,7 @@ def test_hot_join_key_split_by_adaptive_skew_join(spark):
         for k, v in conf.items():
             spark.conf.set(k, v)
         joined = join_dimension(r, users, "user_id")
-        piv = pivot_average(joined, ["movie_id"], "gender", {"M": "m", "F": "f"}, "rating")
+        piv = pivot_average(joined, ["movie_id"], "gender", {"M": "m", "F": "f"}, "rating", scale=4)
         rows = piv.collect()
         plan = piv._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -92,9 +92,7 @@ def test_hot_frame_id_latest_wins(spark):
     assert len(got) == len({r[0] for r in rows})
 
 
-def test_spread_rows_per_partition(spark):
+def test_sized_partitions(spark):
     df = spark.range(0, 1000)
-    assert spread(df, rows_per_partition=100).rdd.getNumPartitions() == 10
-    assert spread(df.limit(3), rows_per_partition=100).rdd.getNumPartitions() == 1
-    big = spark.range(0, 1000, numPartitions=64)
-    assert spread(big) is big  # already wider than the cluster: unchanged
+    assert sized_partitions(df, 100).rdd.getNumPartitions() == 10
+    assert sized_partitions(df.limit(3), 100).rdd.getNumPartitions() == 1

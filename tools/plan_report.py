@@ -91,9 +91,9 @@ def main(argv):
         "Round-trip queries (`delimited_parse`, `csv_roundtrip`, `csv_schema_inference`,",
         "`packet_batch_files`, `packet_stream`, `frame_files`, `json_lines_message`)",
         "write their derived files when the query function is called; the plan shown",
-        "is the returned read-back. The round-robin shuffle in the packet queries is",
-        "`spread()` on the single-split `pages` file; on inputs with more splits than",
-        "cores it is not added. The top-10 queries read the checkpointed category",
+        "is the returned read-back. Only `packet_sized_partitions` deals rows out",
+        "round-robin: it is its feature.",
+        "The top-10 queries read the materialized category",
         "totals (computed once when the function is called).",
         "",
         "| query | shuffles (local) | BHJ/SMJ (local) | shuffles (no broadcast) | BHJ/SMJ (no broadcast) | partial agg | python |",
