@@ -26,6 +26,7 @@ from tessera.operators.frames import (
     masked_replace_channels,
     packet_counters,
     parse_packets,
+    replace_in_frames,
     with_model_mask,
 )
 from tessera.operators.join import union_all
@@ -33,9 +34,9 @@ from tessera.operators.partitioning import sized_partitions
 from tessera.plans.registry import query
 from tessera.session import scratch_dir
 from tessera.sources import tables as T
-from tessera.sources.frame_files import read_frame_files, write_frame_files
+from tessera.sources.frame_files import read_frame_files, saved_counts, write_frame_files
 from tessera.sources.packets import read_json_lines, read_packet_lines, write_json_lines, write_packet_lines
-from tessera.streaming.packets import start_packet_stream
+from tessera.streaming.packets import start_frame_file_stream, start_packet_stream
 
 # Stand-in rules for pixels/masks (fixed values).
 RGB_FACTORS = (1, -1, 2)               # three channels of a pixel, from one vector element
@@ -265,11 +266,6 @@ def masked_replace_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _model(pixels: np.ndarray) -> np.ndarray:
-    """Stand-in for a segmentation model: a mask value per pixel."""
-    return np.abs(pixels).astype(np.float64)
-
-
 @query(
     "model_mask_replace",
     """SELECT vec_id AS frame_id,
@@ -282,7 +278,9 @@ def model_mask_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Masks made by a function on the executors, then replaced pixels."""
     frames = T.read_table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("frame_id"), F.col("embedding").alias("pixels"))
-    return masked_replace(with_model_mask(frames, "pixels", _model), "pixels", "mask").select(
+    # stands in for a segmentation model: a mask value per pixel
+    model = lambda pixels: np.abs(pixels).astype(np.float64)
+    return masked_replace(with_model_mask(frames, "pixels", model), "pixels", "mask").select(
         "frame_id", "pixels", "replaced")
 
 
@@ -336,6 +334,76 @@ def frame_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("file_name", "length", F.decode("content", "UTF-8").alias("text"))
 
 
+def _byte_mask():
+    """Stands in for a segmentation model on raw bytes; it fails on frames of
+    an odd number of bytes, which then stay as they are."""
+
+    def mask(pixels):
+        if len(pixels) % 2:
+            raise ValueError("odd frame")
+        return pixels / 255.0
+
+    return mask
+
+
+def _written_frames(spark: SparkSession, path: str) -> DataFrame:
+    return read_frame_files(spark, path).select("file_name", "length", F.hex("content").alias("content_hex"))
+
+
+SQL_PIPELINE = f"""{SQL_LINES},
+hexed AS (SELECT frame_id, data, hex(data) AS h FROM dec WHERE data IS NOT NULL AND octet_length(data) > 0),
+done AS (SELECT frame_id, octet_length(data) AS n, octet_length(data) % 2 = 0 AS replaced,
+                CASE WHEN octet_length(data) % 2 = 1 THEN h ELSE array_to_string(list_transform(
+                     generate_series(1, octet_length(data)),
+                     lambda i: CASE WHEN substr(h, 2 * i - 1, 2) > '33' THEN 'C0' ELSE substr(h, 2 * i - 1, 2) END), '')
+                END AS content_hex FROM hexed)"""
+SQL_PIPELINE_FILES = (
+    f"WITH {SQL_PIPELINE}\nSELECT printf('frame_%04d.jpg', frame_id) AS file_name, CAST(n AS BIGINT) AS length, content_hex FROM done"
+)
+
+
+@query("frame_pipeline_batch", SQL_PIPELINE_FILES, "FIL6 FIL7 SCA16 FIL5 UDF4 STR4 SNK3 SCA14")
+def frame_pipeline_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets to decoded, masked and replaced frames to one file each."""
+    path = scratch_dir(spark, "frame-pipeline")
+    frames = replace_in_frames(decode_packets(parse_packets(packet_lines_with_faults(spark, sf_dir))), _byte_mask())
+    write_frame_files(frames.select(frame_file_name("frame_id").alias("file_name"), F.col("data").alias("content")), path)
+    return _written_frames(spark, path)
+
+
+@query("frame_pipeline_stream", SQL_PIPELINE_FILES, "SRC5 STR1 STR2 STR3 UDF4 STR4 SNK3")
+def frame_pipeline_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pipeline as a stream over packet files."""
+    base = scratch_dir(spark, "frame-pipeline-stream")
+    write_packet_lines(packet_lines_with_faults(spark, sf_dir), f"{base}/in")
+    mask = _byte_mask()
+    q = start_frame_file_stream(spark, f"{base}/in", f"{base}/frames", f"{base}/checkpoint",
+                                transform=lambda frames: replace_in_frames(frames, mask))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"frame stream failed: {q.exception()}")
+    return _written_frames(spark, f"{base}/frames")
+
+
+@query(
+    "frame_pipeline_counters",
+    f"""WITH {SQL_PIPELINE}
+SELECT (SELECT COUNT(*) FROM lines) AS received, COUNT(*) AS decoded, COUNT(*) FILTER (WHERE replaced) AS replaced,
+       COUNT(*) AS saved, CAST(0 AS BIGINT) AS skipped
+FROM done""",
+    "AGG19 FIL6 SCA16 STR4 SNK3",
+)
+def frame_pipeline_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines received, frames decoded, replaced and saved as files."""
+    lines, path = packet_lines_with_faults(spark, sf_dir), scratch_dir(spark, "frame-counters")
+    frames = replace_in_frames(decode_packets(parse_packets(lines)), _byte_mask())
+    write_frame_files(frames.select(frame_file_name("frame_id").alias("file_name"), F.col("data").alias("content")), path)
+    counts = saved_counts(path)
+    return frame_counters(frames).select(
+        lines.select(F.count(F.lit(1))).scalar().alias("received"), F.col("frames").alias("decoded"), "replaced",
+        F.lit(counts["saved"]).cast("bigint").alias("saved"), F.lit(counts["skipped"]).cast("bigint").alias("skipped"))
+
+
 @query(
     "json_lines_message",
     """SELECT event_id, event_type AS message, CAST(json_extract(props, '$.k') AS BIGINT) AS k,

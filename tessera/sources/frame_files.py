@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 FORMAT_NAME = "frame_files"
+#: Counts of the last write; readers skip names that start with an underscore.
+COUNTS_NAME = "_counts.json"
 SCHEMA = "file_name string, content binary"
 
 
@@ -36,12 +38,16 @@ def _filesystem(path: str):
         path = "file://" + path
     if path.startswith("file:") and not path.startswith("file://"):
         path = "file://" + path[len("file:"):]
+    for scheme in ("s3a://", "s3n://"):  # the names Spark uses for the same store
+        if path.startswith(scheme):
+            path = "s3://" + path[len(scheme):]
     return fs.FileSystem.from_uri(path)
 
 
 @dataclass
 class FilesWritten(WriterCommitMessage):
     count: int
+    skipped: int
 
 
 class FrameFileWriter(DataSourceWriter):
@@ -61,22 +67,35 @@ class FrameFileWriter(DataSourceWriter):
         from pyspark import TaskContext
 
         ctx = TaskContext.get()
-        tag = f"{ctx.partitionId()}-{ctx.attemptNumber()}" if ctx else "0-0"
+        tag = ctx.taskAttemptId() if ctx else 0  # unique within the application, over stage attempts too
         filesystem, root = _filesystem(self.path)
-        n = 0
+        n = skipped = 0
         for row in iterator:
             name = row["file_name"]
-            if not name or "/" in name:
-                raise ValueError(f"bad frame file name {name!r}")
+            if not name or "/" in name or row["content"] is None:
+                skipped += 1  # one bad frame does not stop the others
+                continue
             tmp = f"{root}/.{name}.{tag}.tmp"
-            with filesystem.open_output_stream(tmp) as out:
-                out.write(bytes(row["content"]))
-            filesystem.move(tmp, f"{root}/{name}")
+            try:
+                with filesystem.open_output_stream(tmp) as out:
+                    out.write(bytes(row["content"]))
+                filesystem.move(tmp, f"{root}/{name}")
+            except BaseException:
+                from pyarrow import fs
+
+                if filesystem.get_file_info(tmp).type != fs.FileType.NotFound:
+                    filesystem.delete_file(tmp)
+                raise  # the store is at fault: the task is tried again
             n += 1
-        return FilesWritten(n)
+        return FilesWritten(n, skipped)
 
     def commit(self, messages) -> None:
-        return None
+        import json
+
+        filesystem, root = _filesystem(self.path)
+        counts = {"saved": sum(m.count for m in messages if m), "skipped": sum(m.skipped for m in messages if m)}
+        with filesystem.open_output_stream(f"{root}/{COUNTS_NAME}") as out:
+            out.write(json.dumps(counts).encode())
 
     def abort(self, messages) -> None:
         return None
@@ -116,6 +135,15 @@ def write_frame_files(df: DataFrame, path: str, mode: str = "overwrite") -> None
     df.select("file_name", "content").write.format(FORMAT_NAME).mode(mode).save(path)
 
 
+def saved_counts(path: str) -> dict[str, int]:
+    """Frames saved and skipped by the last write to ``path``."""
+    import json
+
+    filesystem, root = _filesystem(path)
+    with filesystem.open_input_stream(f"{root}/{COUNTS_NAME}") as f:
+        return json.loads(f.read())
+
+
 def read_frame_files(spark: SparkSession, path: str, pattern: str = "frame_*") -> DataFrame:
     """(file_name, length, content) of the files written to ``path``."""
     from pyspark.sql import functions as F

@@ -13,6 +13,8 @@ checkpoint with no new files adds nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -24,6 +26,8 @@ from tessera.sources.frame_files import write_frame_files
 from tessera.sources.packets import LINE_SCHEMA
 
 BATCH_INTERVAL = "1 second"
+#: Rate of a backlog: files one micro-batch takes (nothing is dropped, the next batch goes on).
+FILES_PER_TRIGGER = 1000
 
 
 def _trigger(w: DataStreamWriter, live: bool, batch_interval: str) -> DataStreamWriter:
@@ -44,7 +48,7 @@ def decoded_frames(lines: DataFrame, keep=()) -> DataFrame:
 
 def start_packet_stream(
     spark: SparkSession, input_dir: str, output_dir: str, checkpoint_dir: str,
-    live: bool = False, batch_interval: str = BATCH_INTERVAL, max_files_per_trigger: int | None = None,
+    live: bool = False, batch_interval: str = BATCH_INTERVAL, max_files_per_trigger: int | None = FILES_PER_TRIGGER,
 ) -> StreamingQuery:
     """Packet files -> decoded frames appended to parquet in ``output_dir``.
 
@@ -68,10 +72,12 @@ def start_packet_stream(
 
 def start_frame_file_stream(
     spark: SparkSession, input_dir: str, frames_dir: str, checkpoint_dir: str,
-    live: bool = False, batch_interval: str = BATCH_INTERVAL, max_files_per_trigger: int | None = None,
+    live: bool = False, batch_interval: str = BATCH_INTERVAL, max_files_per_trigger: int | None = FILES_PER_TRIGGER,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Packet files -> one file per frame id in ``frames_dir``; a frame id
-    seen again later replaces its file (last arrival wins).
+    seen again later replaces its file (last arrival wins).  ``transform``
+    changes the frames (frame_id, data) on their way.
 
     Within a batch the last line per id wins (order: file modification time,
     file, split offset, position in split); across batches the later batch
@@ -91,6 +97,8 @@ def start_frame_file_stream(
         )
         frames = decoded_frames(ordered, keep=["arrival"])
         latest = latest_per_id(frames, "frame_id", "arrival", ["data"])
+        if transform is not None:
+            latest = transform(latest.select("frame_id", "data"))
         write_frame_files(
             latest.select(frame_file_name("frame_id").alias("file_name"), F.col("data").alias("content")),
             frames_dir,
