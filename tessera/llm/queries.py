@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import (
-    archives, decontaminate, near_dedup, packing, pii, quality_cnn, quality_rules, substring_dedup, token_counts,
+    archives, decontaminate, near_dedup, oracle, packing, pii, quality_cnn, quality_rules, substring_dedup, token_counts,
     token_files,
 )
 from tessera.llm.common import land, read_table
@@ -26,7 +26,13 @@ def vocabulary(name: str) -> str:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+#: Tokenizer ids, keyed pseudonyms, a fitted network and count sketches have no
+#: SQL form; those queries are tested against brute-force versions.
+ORACLE_SQL: dict[str, str] = {
+    "op2_minhash_near_dedup": oracle.NEAR_DEDUP,
+    "op6_substring_dedup": oracle.SUBSTRING_DEDUP,
+    "op8_arc_to_warc": oracle.ARC_TO_WARC,
+}
 
 
 def _register(fn):
