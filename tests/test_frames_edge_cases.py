@@ -234,3 +234,29 @@ def test_live_stream_restart_resumes_from_checkpoint(spark, scratch):
         q.stop()
     got = sorted((r.frame_id, bytes(r.data)) for r in spark.read.parquet(f"{scratch}/out").collect())
     assert got == [(1, b"hello"), (2, b"world")]
+
+
+def test_replace_in_frames_and_failing_masks(spark):
+    from tessera.operators.frames import replace_in_frames
+
+    df = spark.createDataFrame([(1, bytes([0, 50, 52, 255])), (2, b"abc"), (3, b"")], "frame_id long, data binary")
+
+    def mask(pixels):
+        return pixels[:1] if len(pixels) == 3 else pixels / 255.0
+
+    got = {r.frame_id: (bytes(r.data), r.replaced) for r in replace_in_frames(df, mask).collect()}
+    assert got == {1: (bytes([0, 50, 192, 192]), True), 2: (b"abc", False), 3: (b"", True)}
+
+
+def test_frame_sink_skips_and_counts_bad_rows(spark, scratch):
+    import os
+
+    from tessera.sources.frame_files import read_frame_files, saved_counts, write_frame_files
+
+    rows = [("frame_0001.jpg", b"a"), ("bad/name", b"b"), (None, b"c"), ("frame_0002.jpg", None), ("frame_0003.jpg", b"d")]
+    df = spark.createDataFrame(rows, "file_name string, content binary").repartition(3)
+    write_frame_files(df, f"{scratch}/frames")
+    assert saved_counts(f"{scratch}/frames") == {"saved": 2, "skipped": 3}
+    assert sorted(r.file_name for r in read_frame_files(spark, f"{scratch}/frames").collect()) == [
+        "frame_0001.jpg", "frame_0003.jpg"]
+    assert not [f for f in os.listdir(f"{scratch}/frames") if f.endswith(".tmp")]

@@ -92,7 +92,7 @@ def test_no_round_robin(plans, name):
 
 # A limit is allowed only where it is the feature: top-1, top-10, 5-row sample.
 LIMIT_IS_THE_FEATURE = {
-    "best_movie_min_support", "top10_categories_share", "top10_subtotal_share",
+    "best_movie_min_support", "best_movie_out_of_reach", "top10_categories_share", "top10_subtotal_share",
     "top10_report_text", "sample_rows",
 }
 
