@@ -17,27 +17,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.casts import in_closed_range, tolerant_cast
-from tessera.functions.scalars import in_year, label_or_default, percent_of
+from tessera import questions as Q
+from tessera.functions.casts import in_closed_range
+from tessera.functions.scalars import label_or_default, percent_of
 from tessera.operators.aggregate import (
-    as_decimal,
-    checked_sum,
     conditional_counts,
     count_by,
     distinct_count,
-    exact_sum,
     quality_split,
     row_count,
     top_n,
     with_rank,
 )
-from tessera.operators.join import join_dimension, union_all
+from tessera.operators.join import union_all
 from tessera.operators.partitioning import materialize
 from tessera.plans.registry import query
+from tessera.questions import SCORE_MAX, SCORE_MIN
 from tessera.sources import tables as T
 
 TOP_N = 10
-SCORE_MIN, SCORE_MAX = 1, 5
 
 # SQL stand-ins, mirroring tessera.sources.tables
 SQL_CUSTOMERS = (
@@ -74,52 +72,28 @@ _WITH = (
 
 # ------------------------------------------------------------------- builders
 def scored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews with the score text replaced in place by ``try_cast`` (bad
-    text -> NULL)."""
-    return T.reviews(spark, sf_dir).withColumn("score", tolerant_cast("score", "int"))
+    return Q.scored_reviews(T.reviews(spark, sf_dir))
 
 
 def valid_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scored_reviews(spark, sf_dir).filter(in_closed_range("score", SCORE_MIN, SCORE_MAX))
+    return Q.valid_reviews(T.reviews(spark, sf_dir))
 
 
 def orders_in_year(spark: SparkSession, sf_dir: str, year: int = T.TARGET_YEAR) -> DataFrame:
-    return T.orders(spark, sf_dir).filter(in_year("purchase_ts", year))
+    return Q.orders_in_year(T.orders(spark, sf_dir), year)
 
 
 def category_revenue(spark: SparkSession, sf_dir: str, year: int = T.TARGET_YEAR) -> DataFrame:
-    """(category, revenue, price_total, freight_total, item_count) with exact
-    decimal sums, for order items of orders placed in ``year``."""
-    o = orders_in_year(spark, sf_dir, year).select("order_id")
-    items = join_dimension(T.order_items(spark, sf_dir), o, "order_id")
-    per_product = items.groupBy("product_id").agg(
-        # a row without freight adds to the price total only
-        checked_sum(as_decimal("price", T.MONEY_SCALE) + as_decimal("freight", T.MONEY_SCALE)).alias("revenue"),
-        exact_sum("price", T.MONEY_SCALE).alias("price_total"),
-        exact_sum("freight", T.MONEY_SCALE).alias("freight_total"),
-        F.count("item_id").alias("item_count"),
-    )
-    with_cat = join_dimension(per_product, T.products(spark, sf_dir), "product_id")
-    return with_cat.groupBy("category").agg(
-        checked_sum("revenue").alias("revenue"),
-        checked_sum("price_total").alias("price_total"),
-        checked_sum("freight_total").alias("freight_total"),
-        F.sum("item_count").alias("item_count"),
-    )
+    return Q.category_revenue(T.order_items(spark, sf_dir), T.orders(spark, sf_dir), T.products(spark, sf_dir), year,
+                              scale=T.MONEY_SCALE)
 
 
 def orders_by_country_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_customer = count_by(T.orders(spark, sf_dir), ["customer_id"], "order_id", "order_count")
-    with_country = join_dimension(per_customer, T.customers(spark, sf_dir), "customer_id")
-    return with_country.groupBy("country").agg(F.sum("order_count").alias("order_count"))
+    return Q.orders_by_country(T.orders(spark, sf_dir), T.customers(spark, sf_dir))
 
 
 def orders_by_year_month_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = T.orders(spark, sf_dir)
-    return count_by(
-        o, [F.year("purchase_ts").alias("year"), F.month("purchase_ts").alias("month")],
-        "order_id", "order_count",
-    )
+    return Q.orders_by_year_month(T.orders(spark, sf_dir))
 
 
 def revenue_order():

@@ -12,28 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.scalars import (
-    AGE_LABELS,
-    GENDER_LABELS,
-    age_bucket,
-    epoch_year,
-    explode_delimited,
-    map_lookup,
-)
-from tessera.operators.aggregate import (
-    average_by,
-    best_with_support,
-    combine_sums,
-    finish_average,
-    partial_sums,
-    pivot_average,
-)
+from tessera import questions as Q
+from tessera.functions.scalars import map_lookup
+from tessera.operators.aggregate import average_by
 from tessera.operators.join import join_dimension
 from tessera.plans.registry import query
+from tessera.questions import AGE_COLUMNS, MIN_SUPPORT  # noqa: F401  (AGE_COLUMNS: also for the reports)
 from tessera.sources import tables as T
 
-MIN_SUPPORT = 5
-
 # SQL stand-ins, mirroring tessera.sources.tables
 SQL_RATINGS = (
     "SELECT l_suppkey AS user_id, l_partkey AS movie_id, l_quantity AS rating, "
@@ -63,38 +49,17 @@ def _avg_sql(v: str, where: str | None = None) -> str:
 _WITH = f"WITH r AS ({SQL_RATINGS}), m AS ({SQL_MOVIES}), u AS ({SQL_USERS}), o AS ({SQL_OCCUPATIONS})"
 
 
-# ------------------------------------------------------------------- builders
+# ------------------------------------------- the questions on the stand-ins
 def movie_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(movie_id, title, avg_rating, total_ratings): aggregate, then join."""
-    stats = average_by(T.ratings(spark, sf_dir), ["movie_id"], "rating", "avg_rating", "total_ratings")
-    titles = T.movies(spark, sf_dir).select("movie_id", "title")
-    return join_dimension(titles, stats, "movie_id").select(
-        "movie_id", "title", "avg_rating", "total_ratings"
-    )
-
-
-def ratings_with_users(spark: SparkSession, sf_dir: str, user_cols: list[str]) -> DataFrame:
-    """Rating rows joined to user attributes (inner)."""
-    u = T.users(spark, sf_dir).select("user_id", *user_cols)
-    return join_dimension(T.ratings(spark, sf_dir).select("user_id", "movie_id", "rating"), u, "user_id")
-
-
-GENDER_COLUMNS = dict(zip(GENDER_LABELS, ("male_avg", "female_avg")))
-AGE_COLUMNS = dict(zip(AGE_LABELS, ("avg_0_18", "avg_18_35", "avg_35_50", "avg_50_plus")))
+    return Q.movie_stats(T.movies(spark, sf_dir), T.ratings(spark, sf_dir))
 
 
 def movie_gender_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    j = ratings_with_users(spark, sf_dir, ["gender"])
-    piv = pivot_average(j, ["movie_id"], "gender", GENDER_COLUMNS, "rating")
-    titles = T.movies(spark, sf_dir).select("movie_id", "title")
-    return join_dimension(piv, titles, "movie_id").select("movie_id", "title", *GENDER_COLUMNS.values())
+    return Q.movie_gender_averages(T.movies(spark, sf_dir), T.ratings(spark, sf_dir), T.users(spark, sf_dir))
 
 
 def movie_age_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    j = ratings_with_users(spark, sf_dir, ["age"]).withColumn("age_group", age_bucket("age"))
-    piv = pivot_average(j, ["movie_id"], "age_group", AGE_COLUMNS, "rating")
-    titles = T.movies(spark, sf_dir).select("movie_id", "title")
-    return join_dimension(piv, titles, "movie_id").select("movie_id", "title", *AGE_COLUMNS.values())
+    return Q.movie_age_averages(T.movies(spark, sf_dir), T.ratings(spark, sf_dir), T.users(spark, sf_dir))
 
 
 # -------------------------------------------------------------------- queries
@@ -123,10 +88,7 @@ LIMIT 1""",
     "AGG16 FIL1 SRT4",
 )
 def best_movie_min_support(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_with_support(
-        movie_stats(spark, sf_dir), "total_ratings", MIN_SUPPORT,
-        [F.desc("avg_rating"), F.asc("title"), F.asc("movie_id")],
-    )
+    return Q.best_movie(T.movies(spark, sf_dir), T.ratings(spark, sf_dir), MIN_SUPPORT)
 
 
 @query(
@@ -140,9 +102,8 @@ WHERE s.n > (SELECT COUNT(*) FROM r)""",
 )
 def best_movie_out_of_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No movie has more ratings than there are: the empty result."""
-    stats = movie_stats(spark, sf_dir)
-    support = T.ratings(spark, sf_dir).count() + 1
-    return best_with_support(stats, "total_ratings", support, [F.desc("avg_rating"), F.asc("title")])
+    ratings = T.ratings(spark, sf_dir)
+    return Q.best_movie(T.movies(spark, sf_dir), ratings, ratings.count() + 1)
 
 
 @query(
@@ -156,16 +117,7 @@ ORDER BY avg_rating DESC, genre""",
     "JOI2 SCA2 UDF3 AGG1",
 )
 def avg_rating_by_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Sum per movie first: the per-genre sum over (movie, genre) pairs is the
-    # same as over raw rows, but the join and explode see one row per movie.
-    per_movie = partial_sums(T.ratings(spark, sf_dir), ["movie_id"], "rating")
-    genres = T.movies(spark, sf_dir).select("movie_id", "genres")
-    exploded = join_dimension(genres, per_movie, "movie_id").select(
-        explode_delimited("genres", "|").alias("genre"), "value_sum", "value_count"
-    )
-    return finish_average(
-        combine_sums(exploded, ["genre"]), "avg_rating", "total_ratings"
-    ).orderBy(F.desc("avg_rating"), "genre")
+    return Q.genre_averages(T.movies(spark, sf_dir), T.ratings(spark, sf_dir)).orderBy(F.desc("avg_rating"), "genre")
 
 
 @query(
@@ -221,7 +173,7 @@ def movie_gender_avg_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group-to-list form: per movie the sorted list of (gender, average),
     then dictionary lookups into it.  The list per movie is bounded by the
     number of gender labels."""
-    j = ratings_with_users(spark, sf_dir, ["gender"])
+    j = Q.ratings_with_users(T.ratings(spark, sf_dir), T.users(spark, sf_dir), ["gender"])
     per = average_by(j, ["movie_id", "gender"], "rating", "avg_rating", "n")
     lists = per.groupBy("movie_id").agg(
         F.sort_array(F.collect_list(F.struct("gender", "avg_rating"))).alias("pairs")
@@ -252,15 +204,8 @@ ORDER BY avg_rating DESC, occupation""",
     "JOI3 JOI1 AGG1",
 )
 def avg_rating_by_occupation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # (sum, count) per user first: the join to users then sees one row per
-    # user instead of one per rating.
-    per_user = partial_sums(T.ratings(spark, sf_dir), ["user_id"], "rating")
-    occ_of_user = T.users(spark, sf_dir).select("user_id", "occupation_id")
-    per_occ = combine_sums(join_dimension(per_user, occ_of_user, "user_id"), ["occupation_id"])
-    named = join_dimension(T.occupations(spark, sf_dir), per_occ, "occupation_id")
-    return finish_average(named, "avg_rating", "total_ratings").orderBy(
-        F.desc("avg_rating"), "occupation"
-    )
+    found = Q.occupation_averages(T.ratings(spark, sf_dir), T.users(spark, sf_dir), T.occupations(spark, sf_dir))
+    return found.orderBy(F.desc("avg_rating"), "occupation")
 
 
 @query(
@@ -273,5 +218,4 @@ ORDER BY year""",
     "SCA4 AGG1 SRT2",
 )
 def avg_rating_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = T.ratings(spark, sf_dir).select(epoch_year("ts").alias("year"), "rating")
-    return average_by(r, ["year"], "rating", "avg_rating", "total_ratings").orderBy("year")
+    return Q.year_averages(T.ratings(spark, sf_dir)).orderBy("year")
