@@ -1,25 +1,25 @@
 """Token ids of whole texts by the ``tokenizers`` library, with a piece memo.
 
 A byte-level BPE never merges across a boundary between a non-space character
-and a following space or line feed, so a text falls into pieces whose ids
-simply follow each other.  The ids of a piece come from the library once per
-worker; the memo is bounded and cleared when full.  Texts whose white space
-makes the cut unsafe go to the library whole.
+and a following space or line feed, so a text falls into pieces, each with its
+one leading white-space character, whose ids simply follow each other.  The ids
+of a piece come from the library once per worker; the memo is bounded and
+cleared when full.  Texts with a piece that begins with more white space, where
+the cut is not safe, go to the library whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+import sys
+from array import array
 
 MEMO_PIECES = 600_000
 _MAX_PIECE = 48
-_UNSAFE = re.compile(r"[ \n]\s|^\s|\s$|[\x1c-\x1f\x85]")
-# letters on which all Unicode versions agree, one optional leading white space,
-# then at most one run of other printable ASCII (no apostrophe: contractions)
-_SIMPLE = re.compile(r"([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]*)([!\"#$%&()*+,\-./:;<=>?@\[\]^_`{|}~]*)", re.A)
+# letters on which all Unicode versions agree, or digits, after one optional white
+# space, then at most one run of other printable ASCII (no apostrophe: contractions)
+_SIMPLE = re.compile(r"([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]*|[0-9]*)([!\"#$%&()*+,\-./:;<=>?@\[\]^_`{|}~]*)", re.A)
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -30,10 +30,20 @@ def _byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class Encoder:
-    """``encode(texts)`` -> the ids of each text as little-endian uint32 bytes."""
+def _bytes(ids: list[int]) -> bytes:
+    values = array("I", ids)
+    if sys.byteorder == "big":
+        values.byteswap()
+    return values.tobytes()
+
+
+class Encoder(dict):
+    """``encode(texts)`` -> the ids of each text as little-endian uint32 bytes.
+
+    The dict is the memo: piece -> ids, or None where the cut before it is unsafe."""
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import json
 
@@ -50,12 +60,11 @@ class Encoder:
                     and not re.search(r"\s", a["content"]) for a in spec.get("added_tokens", []))
         )
         self.special = [a["content"] for a in spec.get("added_tokens", [])]
-        self.memo: dict[str, bytes] = {}
         self.alphabet = _byte_alphabet()
 
     def _library(self, texts: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in done]
+        return [_bytes(e.ids) for e in done]
 
     def _simple(self, piece: str) -> bytes | None:
         m = _SIMPLE.fullmatch(piece) if len(piece) <= _MAX_PIECE else None
@@ -72,43 +81,40 @@ class Encoder:
         ids: list[int] = []
         for part in parts:
             if part:
-                mapped = part.encode().decode("latin-1").translate(self.alphabet)
+                if part.isascii():
+                    mapped = part.replace(" ", "\u0120").replace("\n", "\u010a")
+                else:
+                    mapped = part.encode().decode("latin-1").translate(self.alphabet)
                 ids += [t.id for t in tokenize(mapped)]
-        return np.array(ids, "<u4").tobytes()
-
-    def _learn(self, pieces: set[str]) -> None:
-        memo, hard = self.memo, []
-        if len(memo) + len(pieces) > MEMO_PIECES:
-            memo.clear()
-        special = self.special
-        for piece in pieces:
-            ids = None if any(s in piece for s in special) else self._simple(piece)
-            if ids is None:
-                hard.append(piece)
+        return _bytes(ids)
+
+    def __missing__(self, piece: str) -> bytes | None:
+        ids = None
+        if len(piece) < 2 or not piece[1].isspace():
+            if piece in (" ", "\n"):
+                ids = None
+            elif not piece:
+                ids = b""
             else:
-                memo[piece] = ids
-        if hard:
-            memo.update(zip(hard, self._library(hard)))
+                ids = None if any(s in piece for s in self.special) else self._simple(piece)
+                if ids is None:
+                    ids = self._library([piece])[0]
+        self[piece] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
-        cut, whole = [], []
-        for i, text in enumerate(texts):
-            if self.pieces and text and not _UNSAFE.search(text):
-                cut.append((i, text.replace(" ", "\x1f ").replace("\n", "\x1f\n").split("\x1f")))
-            else:
-                whole.append(i)
-        needed: set[str] = set()
-        for _, pieces in cut:
-            needed.update(pieces)
-        known = self.memo
-        missing = needed.difference(known)
-        if missing:
-            kept = {p: known[p] for p in needed if p in known} if len(known) + len(missing) > MEMO_PIECES else {}
-            self._learn(missing)
-            known.update(kept)
-        for i, pieces in cut:
-            out[i] = b"".join(map(known.__getitem__, pieces))
+        if self.pieces:
+            ids_of = self.__getitem__
+            for i, text in enumerate(texts):
+                if "\x1f" in text:
+                    continue
+                if len(self) > MEMO_PIECES:
+                    self.clear()
+                ids = list(map(ids_of, text.replace(" ", "\x1f ").replace("\n", "\x1f\n").split("\x1f")))
+                if None not in ids:
+                    out[i] = b"".join(ids)
+        whole = [i for i, ids in enumerate(out) if ids is None]
         for i, ids in zip(whole, self._library([texts[i] for i in whole])):
             out[i] = ids
         return out  # type: ignore[return-value]
