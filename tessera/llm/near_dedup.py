@@ -28,6 +28,7 @@ empty table gives an empty table.
 
 from __future__ import annotations
 
+from functools import reduce
 from math import comb
 
 import numpy as np
@@ -199,12 +200,19 @@ def _across(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
             .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).drop("root_a", "root_b"))
 
 
+def _contract(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, root) after new links, along the stars found so far."""
+    stars = [] if labels is None else [labels.select(F.col("node").alias("a"), F.col("root").alias("b"))]
+    return land(components([*stars, links]), "labels")
+
+
 def link_components(nodes: DataFrame, postings: DataFrame, texts: DataFrame, floor: int, percent: int,
                     k: int = SHINGLE_WORDS) -> DataFrame | None:
     """(node, root) over all confirmed links; None if there are none."""
-    links: list[DataFrame] = []
+    pending: list[DataFrame] = []
     labels: DataFrame | None = None
     bounds = ["n_shingles", *_SKETCH]
+    prefixes = postings.groupBy("node").agg(F.collect_list("key").alias("keys"))  # at most one key per coordinate
     postings = land(postings.join(nodes.select("node", *bounds), "node"), "postings")
     before, last = None, False
     while not last:
@@ -227,9 +235,15 @@ def link_components(nodes: DataFrame, postings: DataFrame, texts: DataFrame, flo
         one = live.select("key", "main", *[F.col(c).alias("a_" + c) for c in ("node", "root", *bounds)])
         two = live.select("key", *[F.col(c).alias("b_" + c) for c in ("node", "root", *bounds)])
         apart = (F.col("a_root") != F.col("b_root")) & _may_link(percent, "a_", "b_")
-        if last:  # every pair between different components; the first side is not in the main one
-            found = one.where("a_root <> main").join(two, "key").where(
-                apart & ((F.col("b_root") == F.col("main")) | (F.col("a_node") < F.col("b_node"))))
+        if last:
+            # every pair between different components; the first side is not in the
+            # main one.  A pair shows once, at the least key that both prefixes hold:
+            # where a pivot has left that key, it has met all of its nodes.
+            one = one.where("a_root <> main").join(prefixes.select(F.col("node").alias("a_node"), F.col("keys").alias("a_keys")), "a_node")
+            two = two.join(prefixes.select(F.col("node").alias("b_node"), F.col("keys").alias("b_keys")), "b_node")
+            found = one.join(two, "key").where(
+                apart & ((F.col("b_root") == F.col("main")) | (F.col("a_node") < F.col("b_node")))
+                & (F.array_min(F.array_intersect("a_keys", "b_keys")) == F.col("key")))
         else:  # one pivot per posting, against all that are not in its component
             pivot = live.where("root <> main").groupBy("key").agg(F.min("node").alias("pivot"))
             pivots = two.join(pivot, "key").where("b_node = pivot").drop("pivot")
@@ -237,17 +251,16 @@ def link_components(nodes: DataFrame, postings: DataFrame, texts: DataFrame, flo
             postings = land(live.join(pivot, "key").where("node <> pivot").select("key", "node", *bounds), "postings")
         pairs = found.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
         matched = land(_matching(pairs, nodes, floor), "pairs")
-        # first each node's best partner; what that leaves apart comes after
+        # first each node's best partner; what that leaves apart comes at the end
         best = matched.groupBy("b").agg(F.max(F.struct("matches", "a")).alias("best")).select(
             F.col("best.a").alias("a"), "b")
-        links.append(_confirm(best, texts, percent, k))
-        labels = land(components(links), "labels")
-        rest = _across(matched.select("a", "b").join(best, ["a", "b"], "left_anti"), labels)
+        pending.append(matched.select("a", "b").join(best, ["a", "b"], "left_anti"))
+        labels = _contract(labels, _confirm(best, texts, percent, k))
+    if pending:
+        rest = _across(reduce(DataFrame.union, pending).distinct(), labels)
         more = _confirm(rest, texts, percent, k)
         if not more.isEmpty():
-            # contract along the stars found so far and the new links between them
-            links.append(more)
-            labels = land(components([labels.select(F.col("node").alias("a"), F.col("root").alias("b")), more]), "labels")
+            labels = _contract(labels, more)
     return labels
 
 
