@@ -167,9 +167,10 @@ def removed_lines(features: DataFrame, limit: int = LINE_LIMIT) -> DataFrame:
     lines = features.select(*key, "doc_key", F.explode("lines").alias("line")).select(
         *key, "doc_key", "line.h", "line.w")
     per_document = lines.groupBy("host_key", "h", "doc_key").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
-    frequent = (per_document.groupBy("host_key", "h")
-                .agg(F.count(F.lit(1)).alias("documents"), F.min("first").alias("first"))
-                .where(F.col("documents") > limit).drop("documents"))
+    # landed, so that the join can split a very common line, or broadcast by measured size
+    frequent = land(per_document.groupBy("host_key", "h")
+                    .agg(F.count(F.lit(1)).alias("documents"), F.min("first").alias("first"))
+                    .where(F.col("documents") > limit).drop("documents"), "frequent-lines")
     hit = lines.drop("doc_key").join(frequent, ["host_key", "h"]).where(
         ~(F.struct("doc_id", "text_key").eqNullSafe(F.col("first"))))
     return (hit.groupBy(*key).agg(F.collect_set(F.struct("h", "w")).alias("gone"))

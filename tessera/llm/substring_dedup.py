@@ -72,8 +72,9 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     kept occurrence ``kept_doc_id, kept_start``."""
     units = land(line_units(docs, id_col, text_col), "units")
     place = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "text_key", "start")
-    repeated = (units.groupBy("digest_a", "digest_b")
-                .agg(F.min(place).alias("kept"), F.max(place).alias("last")).where("kept <> last").drop("last"))
+    # landed, so that the join can split the lines of a very common digest
+    repeated = land(units.groupBy("digest_a", "digest_b").agg(F.min(place).alias("kept"), F.max(place).alias("last"))
+                    .where("kept <> last").drop("last"), "repeated-units")
     repeats = (units.join(repeated, ["digest_a", "digest_b"]).where(place != F.col("kept"))
                .select("doc_id", "text_key", "line", "start", "length", "n_words",
                        F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.start").alias("kept_start")).distinct())
