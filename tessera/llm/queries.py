@@ -93,7 +93,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Removed lines of all documents with their offsets and kept occurrence."""
+    """Removed lines and passages of all documents with their offsets and kept occurrence."""
     return substring_dedup.removed_spans(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "length", "n_words", "kept_doc_id", "kept_start")
 
