@@ -8,8 +8,8 @@ first carrier (smallest doc_id), and a document that keeps less than
 document alone (too short, repeated three-word windows) reject as well.
 
 Copies must not make their own text look like boilerplate: documents are told
-apart for the count by a one-value MinHash of their five-word shingles, so
-equal texts count once and near copies mostly once.
+apart for the count by the fingerprint of their whole text, so equal texts count
+once and every other text counts.
 
 Defined results: null text is empty, has no words and fails the base rules; a
 null host is a host of its own; null doc_ids are kept as rows and sort first;
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import land, ship_package
 from tessera.llm.words import (
-    LOWER, Texts, line_spans, mix, row_bounds, shingle_sets, span_hashes, text_slices,
+    LOWER, Texts, line_spans, mix, row_bounds, span_hashes, text_slices,
 )
 
 #: Distinct documents of one host that may carry a line.
@@ -42,7 +42,7 @@ _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
 _FEATURES = (
     "doc_id {id_type}, text_key bigint, host_key bigint, n_words bigint, word_chars bigint, n_symbols bigint, "
-    "n_dup_lines bigint, n_repeat_words bigint, doc_key bigint, lines array<struct<h:bigint,w:bigint>>"
+    "n_dup_lines bigint, n_repeat_words bigint, lines array<struct<h:bigint,w:bigint>>"
 )
 
 
@@ -102,7 +102,7 @@ def line_hashes(text: str) -> np.ndarray:
 def _features_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     n = batch.num_rows
     counts = {k: np.zeros(n, np.int64) for k in
-              ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "doc_key")}
+              ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
     line_h, line_w, line_n = [], [], np.zeros(n, np.int64)
     for texts in text_slices(batch.column("text")):
         rows = slice(texts.first, texts.first + len(texts))
@@ -120,12 +120,8 @@ def _features_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
         low = Texts(texts.first, LOWER[texts.buf], texts.offsets)
         l_row, raw, norm, words = _lines(texts, starts, span_hashes(low.buf, starts, ends))
         l_bounds = row_bounds(l_row, len(texts))
-        sets = shingle_sets(texts)
         for r in range(len(texts)):
             a, b = l_bounds[r], l_bounds[r + 1]
-            shingles = next(sets)
-            if len(shingles):
-                counts["doc_key"][texts.first + r] = mix(shingles).min().view(np.int64)
             if b > a:
                 counts["n_dup_lines"][texts.first + r] = (b - a) - len(np.unique(raw[a:b]))
                 h, index = np.unique(norm[a:b], return_inverse=True)
@@ -139,10 +135,10 @@ def _features_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     lines = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(h), pa.array(w)], ["h", "w"]))
     columns = [batch.column(c) for c in ("doc_id", "text_key", "host_key")]
     columns += [pa.array(counts[k]) for k in
-                ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "doc_key")]
+                ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return pa.RecordBatch.from_arrays([*columns, lines], names=[
         "doc_id", "text_key", "host_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "doc_key", "lines"])
+        "lines"])
 
 
 def _features_task(batches):
@@ -152,7 +148,7 @@ def _features_task(batches):
 
 def document_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       host_col: str = "source") -> DataFrame:
-    """One row per document: base counts, count sketch and normalised lines."""
+    """One row per document: base counts and normalised lines."""
     ship_package(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"),
@@ -164,14 +160,13 @@ def document_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def removed_lines(features: DataFrame, limit: int = LINE_LIMIT) -> DataFrame:
     """Per document that loses lines: the removed hashes and their words."""
     key = ["doc_id", "text_key", "host_key"]
-    lines = features.select(*key, "doc_key", F.explode("lines").alias("line")).select(
-        *key, "doc_key", "line.h", "line.w")
-    per_document = lines.groupBy("host_key", "h", "doc_key").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    lines = features.select(*key, F.explode("lines").alias("line")).select(*key, "line.h", "line.w")
+    per_document = lines.groupBy("host_key", "h", "text_key").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
     # landed, so that the join can split a very common line, or broadcast by measured size
     frequent = land(per_document.groupBy("host_key", "h")
                     .agg(F.count(F.lit(1)).alias("documents"), F.min("first").alias("first"))
                     .where(F.col("documents") > limit).drop("documents"), "frequent-lines")
-    hit = lines.drop("doc_key").join(frequent, ["host_key", "h"]).where(
+    hit = lines.join(frequent, ["host_key", "h"]).where(
         ~(F.struct("doc_id", "text_key").eqNullSafe(F.col("first"))))
     return (hit.groupBy(*key).agg(F.collect_set(F.struct("h", "w")).alias("gone"))
             .select(*key, F.col("gone.h").alias("removed"),
