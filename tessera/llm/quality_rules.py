@@ -1,9 +1,10 @@
 """Quality rules (operator 10): cross-document line frequency.
 
 Lines are normalised (A-Z lower-cased, white space collapsed) and hashed; per
-host, the distinct documents that carry a line are counted.  Lines in more than
-``limit`` documents of their host are removed everywhere except in the host's
-first carrier (smallest doc_id), and a document that keeps less than
+host, the distinct documents that carry a line are counted.  Lines of at least
+``MIN_LINE_WORDS`` words in more than ``limit`` documents of their host, and in
+more than ``LINE_SHARE`` of its distinct documents, are removed everywhere except
+in the host's first carrier (smallest doc_id), and a document that keeps less than
 ``min_left`` of its words is depleted and rejected.  Base rules on the
 document alone (too short, repeated three-word windows) reject as well.
 
@@ -29,8 +30,12 @@ from tessera.llm.words import (
     LOWER, Texts, line_spans, mix, row_bounds, span_hashes, text_slices,
 )
 
-#: Distinct documents of one host that may carry a line.
+#: Distinct documents of one host that may carry a line, whatever the host's size ...
 LINE_LIMIT = 100
+#: ... and the share of them; above 500 documents it is the larger bound.
+LINE_SHARE = 0.2
+#: Shorter lines recur by chance in any large host.
+MIN_LINE_WORDS = 3
 #: Share of a document's words that must remain.
 MIN_LEFT = 0.2
 MIN_WORDS = 50
@@ -42,7 +47,7 @@ _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
 _FEATURES = (
     "doc_id {id_type}, text_key bigint, host_key bigint, n_words bigint, word_chars bigint, n_symbols bigint, "
-    "n_dup_lines bigint, n_repeat_words bigint, lines array<struct<h:bigint,w:bigint>>"
+    "n_dup_lines bigint, n_repeat_words bigint, lines array<struct<h:bigint,w:bigint,n:bigint>>"
 )
 
 
@@ -103,7 +108,7 @@ def _features_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     n = batch.num_rows
     counts = {k: np.zeros(n, np.int64) for k in
               ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
-    line_h, line_w, line_n = [], [], np.zeros(n, np.int64)
+    line_h, line_w, line_size, line_n = [], [], [], np.zeros(n, np.int64)
     for texts in text_slices(batch.column("text")):
         rows = slice(texts.first, texts.first + len(texts))
         starts, ends = texts.words()
@@ -124,15 +129,18 @@ def _features_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
             a, b = l_bounds[r], l_bounds[r + 1]
             if b > a:
                 counts["n_dup_lines"][texts.first + r] = (b - a) - len(np.unique(raw[a:b]))
-                h, index = np.unique(norm[a:b], return_inverse=True)
+                h, at, index = np.unique(norm[a:b], return_index=True, return_inverse=True)
                 line_h.append(h)
                 line_w.append(np.bincount(index, weights=words[a:b]).astype(np.int64))
+                line_size.append(words[a:b][at])
                 line_n[texts.first + r] = len(h)
     offsets = np.zeros(n + 1, np.int32)
     np.cumsum(line_n, out=offsets[1:])
     h = np.concatenate(line_h).view(np.int64) if line_h else np.empty(0, np.int64)
     w = np.concatenate(line_w) if line_w else np.empty(0, np.int64)
-    lines = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(h), pa.array(w)], ["h", "w"]))
+    size = np.concatenate(line_size) if line_size else np.empty(0, np.int64)
+    lines = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(
+        [pa.array(h), pa.array(w), pa.array(size)], ["h", "w", "n"]))
     columns = [batch.column(c) for c in ("doc_id", "text_key", "host_key")]
     columns += [pa.array(counts[k]) for k in
                 ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
@@ -160,12 +168,16 @@ def document_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def removed_lines(features: DataFrame, limit: int = LINE_LIMIT) -> DataFrame:
     """Per document that loses lines: the removed hashes and their words."""
     key = ["doc_id", "text_key", "host_key"]
-    lines = features.select(*key, F.explode("lines").alias("line")).select(*key, "line.h", "line.w")
+    lines = features.select(*key, F.explode("lines").alias("line")).select(*key, "line.h", "line.w", "line.n").where(
+        F.col("n") >= MIN_LINE_WORDS).drop("n")
     per_document = lines.groupBy("host_key", "h", "text_key").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    hosts = features.groupBy("host_key").agg(F.count_distinct("text_key").alias("host_documents"))
     # landed, so that the join can split a very common line, or broadcast by measured size
     frequent = land(per_document.groupBy("host_key", "h")
                     .agg(F.count(F.lit(1)).alias("documents"), F.min("first").alias("first"))
-                    .where(F.col("documents") > limit).drop("documents"), "frequent-lines")
+                    .where(F.col("documents") > limit).join(hosts, "host_key")
+                    .where(F.col("documents") > LINE_SHARE * F.col("host_documents"))
+                    .drop("documents", "host_documents"), "frequent-lines")
     hit = lines.join(frequent, ["host_key", "h"]).where(
         ~(F.struct("doc_id", "text_key").eqNullSafe(F.col("first"))))
     return (hit.groupBy(*key).agg(F.collect_set(F.struct("h", "w")).alias("gone"))

@@ -13,3 +13,17 @@ def test_documents_that_share_much_text_count_each(spark):
     texts = [f"{banner}\n{prose(rng, 30, 5000)}" for _ in range(60)]
     rows = q.verdicts(q.document_features(documents(spark, texts)), limit=50).collect()
     assert {r["doc_id"] for r in rows if r["kept"]} == {0}  # the first carrier
+
+
+def test_limit_follows_the_host_and_short_lines_stay(spark):
+    rng = random.Random(10)
+    lines = {0: "les.", 1: "and ornd.", 2: "in every third document", 3: "in a tenth of them"}
+    texts = []
+    for i in range(120):
+        own = [prose(rng, 60, 5000), lines[0], lines[1]]
+        texts.append("\n".join(own + [lines[2]] * (i % 3 == 0) + [lines[3]] * (i % 10 == 0)))
+    out = {r["doc_id"]: r["text"] for r in q.apply_quality_rules(documents(spark, texts), limit=10).collect()}
+    assert len(out) == 120
+    for i, text in enumerate(texts):
+        want = text if i == 0 else "\n".join(x for x in text.split("\n") if x != lines[2])
+        assert out[i] == want
