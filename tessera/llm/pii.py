@@ -27,6 +27,11 @@ from pyspark.sql import functions as F
 ROUNDS = 10
 #: Letters, digits and underscore of any script would join words; ASCII ones bound candidates.
 _NOT_BEFORE, _NOT_AFTER = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
+#: Not into an address, a date or an expiry behind the number.
+_NOT_INTO = r"(?![0-9]|\.[0-9]{1,3}\.|/[0-9])"
+#: Not a few digits and then a whole card.
+_NOT_BEFORE_CARD = (r"(?![0-9]{1,12}[ \-](?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){3}|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})"
+                    r"(?![0-9]))")
 KINDS = {
     "secret": r"[0-9a-fA-F]{32,128}",
     "iban": r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}",
@@ -37,13 +42,23 @@ KINDS = {
     "slash_date": r"[0-9]{2}/[0-9]{2}/[0-9]{4}(?!/?[0-9])",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-?[0-9])",
     "phone": r"\+[0-9]{1,3}[ \-]?\(?[0-9]{3}\)?[ \-]?[0-9]{3}[ \-]?[0-9]{4}|\([0-9]{3}\)[ \-]?[0-9]{3}[ \-][0-9]{4}"
-             r"|[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}",
-    "number": r"[0-9](?:[ \-]?[0-9]){12,18}",
+             r"|[0-9]{3}[. \-][0-9]{3}[. \-][0-9]{4}"
+             # other countries: groups of two to four digits, seven digits at least
+             r"|\+(?=(?:[ .\-()]{0,2}[0-9]){7})[0-9]{1,3}[ .\-]?(?:\(0\) ?)?\(?[0-9]{1,4}\)?(?:[ .\-]?[0-9]{2,4}){1,5}"
+             + _NOT_INTO,
+    # whole cards first, so that digits behind a card are not drawn into it
+    "number": "|".join(
+        [r"[0-9]{13,19}"]
+        + [rf"[0-9]{{4}}(?:{c}[0-9]{{4}}){{3}}(?!-[0-9])" for c in " -"]
+        + [rf"[0-9]{{4}}{c}[0-9]{{6}}{c}[0-9]{{4,5}}(?!-[0-9])" for c in " -"]
+        + [_NOT_BEFORE_CARD + r"[0-9](?:[ \-]?[0-9]){12,18}" + end for end in (_NOT_INTO, "")]),
 }
 #: An e-mail name starts where its characters start, or it would be scanned from each of them.
 _BEFORE = {"email": r"(?<![A-Za-z0-9._%+\-])", "ip": r"(?<![0-9A-Za-z.])"}
+#: A time may follow a date.
+_AFTER = {"iso_date": r"(?![0-9A-SU-Za-z]|T(?![0-9]{2}:?[0-9]{2}))"}
 CANDIDATE = "|".join(
-    f"{_BEFORE.get(kind, _NOT_BEFORE)}(?:{pattern}){_NOT_AFTER}" for kind, pattern in KINDS.items())
+    f"{_BEFORE.get(kind, _NOT_BEFORE)}(?:{pattern}){_AFTER.get(kind, _NOT_AFTER)}" for kind, pattern in KINDS.items())
 _FIRST_DAY, _DAYS, _DAY_RADIX = "1900-01-01", 73049, 4297  # 17 * 4297 days are 1900-2099
 _SSN_AREAS, _SSN_REST, _SERIALS = 898, 99 * 9999, 9999
 
@@ -177,8 +192,11 @@ def _number(key: str, text: Column, inverse: bool) -> Column:
 def _phone(key: str, text: Column, inverse: bool) -> Column:
     def of(digits):
         n = F.length(digits)
-        return _refill(text, F.concat(F.substring(digits, F.lit(1), n - 10), _permute_digits(
-            key, "phone", F.substring(digits, n - 9, F.lit(10)), inverse)))
+        # a separated country code stays, or else what stands before the last ten digits
+        code = F.length(F.regexp_extract(text, r"^\+([0-9]{1,3})[ .\-(]", 1))
+        stays = F.when(code > 0, code).when(text.startswith("+"), F.greatest(n - 10, F.lit(1))).otherwise(n - 10)
+        return _refill(text, F.concat(F.substring(digits, F.lit(1), stays), _permute_digits(
+            key, "phone", F.substring(digits, stays + 1, n - stays), inverse)))
 
     return _with(_digits(text), of)
 
