@@ -4,14 +4,17 @@ Texts become sequences of lower-cased words in which numbers, names (capitals
 inside a sentence) and units (after a number) are typed placeholders.  Windows
 of ``WINDOW`` template words are hashed; document windows are looked up in a
 bitmap of the benchmark's windows, of a fixed size, and those that pass are
-hash-joined with the benchmark's windows.  The slot values behind the
+hash-joined with the benchmark's windows.  Each window has a second key, of its
+lower-cased words with their values, so verbatim and re-cased text is found
+whatever its placeholders; the template key needs ``MIN_LITERALS`` literals.  The slot values behind the
 placeholders must map one to one within a document and item: then a question
 with other numbers or names is the same question.  Where they contradict each
 other, only windows with no slot or with equal values count.
 
 An item is found in a document when at least ``MIN_SHARE`` of its windows are.
 
-Defined results: null, wordless and placeholder-only texts match nothing; an
+Defined results: null and wordless texts match nothing; placeholder-only texts
+match with equal values only; an
 item shorter than a window is one window as a whole; repeated rows count once;
 repeated items are found each; an empty documents or benchmark table gives an
 empty result.
@@ -69,12 +72,13 @@ def _lower(buf: np.ndarray) -> np.ndarray:
     return low
 
 
-def template(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per template word: text row, template hash, slot value (0: literal)."""
+def template(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per template word: text row, template hash, slot value (0: literal),
+    lower-cased hash, line number."""
     starts, ends = texts.words(_BREAK)
     row = texts.row_of(starts)
     if len(starts) == 0:
-        return row, np.empty(0, U), np.empty(0, U)
+        return row, np.empty(0, U), np.empty(0, U), np.empty(0, U), row
     buf = texts.buf
     digits = np.zeros(len(buf) + 1, np.int64)
     np.cumsum(_DIGIT[buf], out=digits[1:])
@@ -97,30 +101,36 @@ def template(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         _ALNUM[buf[back]] | (buf[back] == 0x2C))
     name = inside & _UPPER[buf[starts]] & (ends - starts > 1) & _SMALL[buf[np.minimum(starts + 1, len(buf) - 1)]]
     form = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, value)))
-    return row, form, np.where(number | unit | name, value | U(1), U(0))
+    line = np.cumsum(buf == 0x0A)[starts]
+    return row, form, np.where(number | unit | name, value | U(1), U(0)), value, line
 
 
-def _windows(form: np.ndarray, slot: np.ndarray, bounds: np.ndarray, size: int):
-    """(start index, hash) of the windows of ``size`` words inside one text
-    that have enough literals."""
+def _windows(form: np.ndarray, slot: np.ndarray, value: np.ndarray, bounds: np.ndarray, size: int):
+    """(start index, hash, has slots, enough literals) of the windows of ``size``
+    words inside one text: each by its words, and by its template where that
+    differs and has enough literals."""
     n = len(form) - size + 1
     if n <= 0:
-        return np.empty(0, np.int64), np.empty(0, U)
-    acc = form[:n].copy()
-    for j in range(1, size):
-        acc = mix(acc) + form[j: j + n]
+        return np.empty(0, np.int64), np.empty(0, U), np.empty(0, bool), np.empty(0, bool)
     literal = np.zeros(len(form) + 1, np.int64)
     np.cumsum(slot == 0, out=literal[1:])
-    enough = literal[size:] - literal[:-size] >= min(MIN_LITERALS, size)
-    end = bounds[np.searchsorted(bounds, np.arange(n), "right")]
-    at = np.flatnonzero(enough & (np.arange(n) + size <= end))
-    return at, mix(acc[at] + U(size))
-
-
-def _slots(slot: np.ndarray, at: np.ndarray, size: int) -> pa.Array:
-    """Per window, its slot values in order."""
+    literals = literal[size:] - literal[:-size]
+    enough = literals >= min(MIN_LITERALS, size)
+    inside = np.arange(n) + size <= bounds[np.searchsorted(bounds, np.arange(n), "right")]
+    found = []
+    for words, keep in ((value, inside), (form, inside & enough & (literals < size))):
+        acc = words[:n].copy()
+        for j in range(1, size):
+            acc = mix(acc) + words[j: j + n]
+        at = np.flatnonzero(keep)
+        found.append((at, mix(acc[at] + U(size)), np.full(len(at), words is form), enough[at]))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _slots(slot: np.ndarray, at: np.ndarray, typed: np.ndarray, size: int) -> pa.Array:
+    """Per window, its slot values in order; none where it is hashed by its words."""
     cut = slot[at[:, None] + np.arange(size)]
-    used = cut != 0
+    used = (cut != 0) & typed[:, None]
     offsets = np.zeros(len(at) + 1, np.int32)
     np.cumsum(used.sum(axis=1), out=offsets[1:])
     return pa.ListArray.from_arrays(offsets, pa.array(cut[used].view(np.int64)))
@@ -129,18 +139,19 @@ def _slots(slot: np.ndarray, at: np.ndarray, size: int) -> pa.Array:
 def _benchmark_task(batches):
     for batch in batches:
         for texts in text_slices(batch.column("text")):
-            row, form, slot = template(texts)
+            row, form, slot, value, _ = template(texts)
             bounds = row_bounds(row, len(texts))
             sizes = np.diff(bounds)
             for size in np.unique(np.minimum(sizes[sizes > 0], WINDOW)).tolist():
-                at, key = _windows(form, slot, bounds, size)
+                at, key, typed, enough = _windows(form, slot, value, bounds, size)
                 keep = np.minimum(sizes[row[at]], WINDOW) == size
-                at, key = at[keep], key[keep]
+                at, key, typed, enough = at[keep], key[keep], typed[keep], enough[keep]
                 r = row[at]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("item_id").take(pa.array(r + texts.first)), pa.array(at - bounds[r]),
-                     pa.array(np.full(len(at), size, np.int64)), pa.array(key.view(np.int64)), _slots(slot, at, size)],
-                    names=["item_id", "position", "size", "window", "slots"])
+                     pa.array(np.full(len(at), size, np.int64)), pa.array(key.view(np.int64)),
+                     _slots(slot, at, typed, size), pa.array(enough)],
+                    names=["item_id", "position", "size", "window", "slots", "strong"])
 
 
 def _lookup_task(bitmap, sizes: list[int], bits: int):
@@ -150,20 +161,20 @@ def _lookup_task(bitmap, sizes: list[int], bits: int):
         marks = np.frombuffer(bitmap.value, np.uint8)
         for batch in batches:
             for texts in text_slices(batch.column("text")):
-                row, form, slot = template(texts)
+                row, form, slot, value, line = template(texts)
                 bounds = row_bounds(row, len(texts))
                 for size in sizes:
-                    at, key = _windows(form, slot, bounds, size)
+                    at, key, typed, _ = _windows(form, slot, value, bounds, size)
                     bit = key & mask
                     hit = (marks[(bit >> U(3)).astype(np.int64)] >> (bit & U(7)).astype(np.uint8)) & 1 > 0
-                    at, key = at[hit], key[hit]
+                    at, key, typed = at[hit], key[hit], typed[hit]
                     if not len(at):
                         continue
                     source = pa.array(row[at] + texts.first)
                     yield pa.RecordBatch.from_arrays(
                         [batch.column("doc_id").take(source), batch.column("text_key").take(source),
-                         pa.array(key.view(np.int64)), _slots(slot, at, size)],
-                        names=["doc_id", "text_key", "window", "found"])
+                         pa.array(at - bounds[row[at]]), pa.array(key.view(np.int64)), _slots(slot, at, typed, size)],
+                        names=["doc_id", "text_key", "place", "window", "found"])
 
     return run
 
@@ -189,7 +200,8 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")).distinct()
     item_type = items.schema["item_id"].dataType.simpleString()
     windows = land(items.mapInArrow(
-        _benchmark_task, f"item_id {item_type}, position bigint, size bigint, window bigint, slots array<bigint>"),
+        _benchmark_task, f"item_id {item_type}, position bigint, size bigint, window bigint, slots array<bigint>, "
+                         "strong boolean"),
         "benchmark-windows")
     sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # at most WINDOW rows
     bitmap = spark.sparkContext.broadcast(_bitmap(windows, bits))
@@ -197,24 +209,33 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
                        F.col(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     seen = rows.mapInArrow(_lookup_task(bitmap, sizes, bits),
-                           f"doc_id {id_type}, text_key bigint, window bigint, found array<bigint>")
-    totals = windows.groupBy("item_id").agg(F.countDistinct("position").alias("item_windows"))
-    hits = seen.join(windows.select("item_id", "position", "window", "slots"), "window").where(
+                           f"doc_id {id_type}, text_key bigint, place bigint, window bigint, found array<bigint>")
+    totals = windows.groupBy("item_id").agg(
+        F.countDistinct("position").alias("item_windows"),
+        F.countDistinct(F.when(F.col("strong"), F.col("position"))).alias("item_strong"))
+    hits = seen.join(windows.select("item_id", "position", "window", "slots", "strong"), "window").where(
         F.size("slots") == F.size("found"))
     pairs = F.arrays_zip(F.col("slots").alias("item"), F.col("found").alias("doc"))
-    hits = hits.select("doc_id", "text_key", "item_id", "position", pairs.alias("pairs"),
+    hits = hits.select("doc_id", "text_key", "place", "item_id", "position", "strong", pairs.alias("pairs"),
                        (F.col("slots") == F.col("found")).alias("same")).distinct()
     # arrays_zip names its fields by the columns it gets
     grouped = hits.groupBy("doc_id", "text_key", "item_id").agg(
         F.collect_set("position").alias("any_place"),
         F.collect_set(F.when(F.col("same"), F.col("position"))).alias("same_place"),
+        F.collect_set(F.when(F.col("strong"), F.col("position"))).alias("strong_place"),
+        F.collect_set(F.when(F.col("same") & F.col("strong"), F.col("position"))).alias("same_strong"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
         F.bool_and("same").alias("verbatim"))
     one_to_one = ((F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"]))) == F.size("pairs"))
                   & (F.size(F.array_distinct(F.transform("pairs", lambda p: p["doc"]))) == F.size("pairs")))
-    counted = grouped.select("doc_id", "text_key", "item_id", "verbatim", F.when(
-        one_to_one, F.size("any_place")).otherwise(F.size("same_place")).cast("bigint").alias("n_windows"))
-    return counted.join(totals, "item_id").where(F.col("n_windows") >= min_share * F.col("item_windows")).select(
+    counted = grouped.select(
+        "doc_id", "text_key", "item_id", "verbatim",
+        F.when(one_to_one, F.size("any_place")).otherwise(F.size("same_place")).cast("bigint").alias("n_windows"),
+        F.when(one_to_one, F.size("strong_place")).otherwise(F.size("same_strong")).alias("n_strong"))
+    # re-parameterised items are judged by the windows whose template counts
+    enough = (F.col("n_windows") >= min_share * F.col("item_windows")) | (
+        (F.col("n_strong") > 0) & (F.col("n_strong") >= min_share * F.col("item_strong")))
+    return counted.join(totals, "item_id").where(enough).select(
         "doc_id", "text_key", "item_id", "n_windows", "item_windows", "verbatim")
 
 
