@@ -7,9 +7,11 @@ bitmap of the benchmark's windows, of a fixed size, and those that pass are
 hash-joined with the benchmark's windows.  Each window has a second key, of its
 lower-cased words with their values, so verbatim and re-cased text is found
 whatever its placeholders; the template key needs ``MIN_LITERALS`` literals.  The slot values behind the
-placeholders must map one to one within a document and item: then a question
+placeholders must map one to one within an occurrence of an item: then a question
 with other numbers or names is the same question.  Where they contradict each
-other, only windows with no slot or with equal values count.
+other, only windows with no slot or with equal values count.  Occurrences are
+the hits at one distance between document and item position, the stretches in
+which the item position ascends, and all hits of the document; the best counts.
 
 An item is found in a document when at least ``MIN_SHARE`` of its windows are.
 
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import land, ship_package
@@ -34,6 +36,8 @@ WINDOW = 8
 #: Words of a window that must not be placeholders.
 MIN_LITERALS = 4
 MIN_SHARE = 0.3
+#: Words between two hits of an item that end a stretch.
+STRETCH_GAP = 64
 #: Size of the look-up bitmap; it does not grow with the benchmark.
 BITMAP_BITS = 24
 UNITS = ("mm cm m km in ft yd mi mile miles meter meters metre metres kilometer kilometers inch inches foot feet "
@@ -218,8 +222,16 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     pairs = F.arrays_zip(F.col("slots").alias("item"), F.col("found").alias("doc"))
     hits = hits.select("doc_id", "text_key", "place", "item_id", "position", "strong", pairs.alias("pairs"),
                        (F.col("slots") == F.col("found")).alias("same")).distinct()
+    in_order = Window.partitionBy("doc_id", "text_key", "item_id").orderBy("place", "position")
+    starts_anew = ((F.col("position") <= F.lag("position").over(in_order))
+                   | (F.col("place") > F.lag("place").over(in_order) + STRETCH_GAP))
+    hits = hits.withColumn("anew", F.coalesce(starts_anew, F.lit(False)).cast("bigint")).withColumn(
+        "stretch", F.sum("anew").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    occurrences = F.array(*[F.struct(F.lit(k).alias("kind"), n.cast("bigint").alias("n")) for k, n in enumerate(
+        [F.lit(0), F.col("place") - F.col("position"), F.col("stretch")])])
     # arrays_zip names its fields by the columns it gets
-    grouped = hits.groupBy("doc_id", "text_key", "item_id").agg(
+    grouped = hits.withColumn("occurrence", F.explode(occurrences)).groupBy(
+        "doc_id", "text_key", "item_id", "occurrence").agg(
         F.collect_set("position").alias("any_place"),
         F.collect_set(F.when(F.col("same"), F.col("position"))).alias("same_place"),
         F.collect_set(F.when(F.col("strong"), F.col("position"))).alias("strong_place"),
@@ -235,8 +247,9 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     # re-parameterised items are judged by the windows whose template counts
     enough = (F.col("n_windows") >= min_share * F.col("item_windows")) | (
         (F.col("n_strong") > 0) & (F.col("n_strong") >= min_share * F.col("item_strong")))
-    return counted.join(totals, "item_id").where(enough).select(
-        "doc_id", "text_key", "item_id", "n_windows", "item_windows", "verbatim")
+    best = F.max(F.struct("n_windows", "verbatim"))
+    return counted.join(totals, "item_id").where(enough).groupBy("doc_id", "text_key", "item_id", "item_windows").agg(
+        best.alias("best")).select("doc_id", "text_key", "item_id", "best.n_windows", "item_windows", "best.verbatim")
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
