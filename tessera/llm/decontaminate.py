@@ -17,7 +17,8 @@ An item is found in a document when at least ``MIN_SHARE`` of its windows are.
 
 Defined results: null and wordless texts match nothing; placeholder-only texts
 match with equal values only; an
-item shorter than a window is one window as a whole; repeated rows count once;
+item shorter than a window is one window as a whole, and one of fewer than
+``SHORT_ITEM`` words must fill whole lines; repeated rows count once;
 repeated items are found each; an empty documents or benchmark table gives an
 empty result.
 """
@@ -36,6 +37,8 @@ WINDOW = 8
 #: Words of a window that must not be placeholders.
 MIN_LITERALS = 4
 MIN_SHARE = 0.3
+#: Items of fewer words are found only where they fill whole lines, not inside other text.
+SHORT_ITEM = 5
 #: Words between two hits of an item that end a stretch.
 STRETCH_GAP = 64
 #: Size of the look-up bitmap; it does not grow with the benchmark.
@@ -167,10 +170,15 @@ def _lookup_task(bitmap, sizes: list[int], bits: int):
             for texts in text_slices(batch.column("text")):
                 row, form, slot, value, line = template(texts)
                 bounds = row_bounds(row, len(texts))
+                ends = np.ones(len(row) + 1, bool)  # of a line or text, before each word and behind the last
+                ends[1:-1] = (line[1:] != line[:-1]) | (row[1:] != row[:-1])
+                opens, closes = ends[:-1], ends[1:]
                 for size in sizes:
                     at, key, typed, _ = _windows(form, slot, value, bounds, size)
                     bit = key & mask
                     hit = (marks[(bit >> U(3)).astype(np.int64)] >> (bit & U(7)).astype(np.uint8)) & 1 > 0
+                    if size < SHORT_ITEM:
+                        hit &= opens[at] & closes[at + size - 1]
                     at, key, typed = at[hit], key[hit], typed[hit]
                     if not len(at):
                         continue

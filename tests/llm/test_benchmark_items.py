@@ -26,3 +26,8 @@ def test_two_versions_of_a_question_in_one_text(spark):
     edited = f"{one.replace('and then', 'and only then')}. {two.replace('and then', 'and only then')}."
     got = found(spark, [f"{one}. {two}.", f"{one} {other} {two}", edited, other], [item])
     assert got == {(0, 0): False, (1, 0): False, (2, 0): False}
+
+
+def test_very_short_items_must_fill_whole_lines(spark):
+    texts = ["Yes we can, and the answer is here", "a b\nYes!\nc d", "The answer", "x the answer\ny", "no\n\n the answer.", "yes"]
+    assert set(found(spark, texts, ["Yes", "the answer"])) == {(1, 0), (2, 1), (4, 1), (5, 0)}
