@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import (
-    archives, decontaminate, near_dedup, oracle, packing, pii, quality_cnn, quality_rules, substring_dedup, token_counts,
-    token_files,
+    archives, decontaminate, near_dedup, oracle, oracle_words, packing, pii, quality_cnn, quality_rules, sharding, spelling,
+    substring_dedup, token_counts, token_files,
 )
 from tessera.llm.common import land, read_table
 from tessera.session import scratch_dir
@@ -32,6 +32,8 @@ ORACLE_SQL: dict[str, str] = {
     "op2_minhash_near_dedup": oracle.NEAR_DEDUP,
     "op6_substring_dedup": oracle.SUBSTRING_DEDUP,
     "op8_arc_to_warc": oracle.ARC_TO_WARC,
+    "op12_spelling_variants": oracle_words.SPELLING,
+    "op13_rendezvous_sharding": oracle_words.SHARDING,
 }
 
 
@@ -134,3 +136,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = land(quality_rules.document_features(read_table(spark, sf_dir, "documents")), "op10-features")
     return quality_rules.verdicts(features).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@_register
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every word of all documents."""
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents")).select(
+        "word", "form", "root", "n", "n_near", "form_n")
+
+
+#: Shards that op13 writes.
+SHARDS = 8
+
+
+@_register
+def op13_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and place in it, from the shards' files."""
+    return sharding.shard_digest(read_table(spark, sf_dir, "documents").select("doc_id", "text"), SHARDS)
