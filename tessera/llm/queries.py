@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import (
     archives, decontaminate, near_dedup, oracle, oracle_words, packing, pii, quality_cnn, quality_rules, sharding, spelling,
-    substring_dedup, token_counts, token_files,
+    substring_dedup, token_counts, token_files, whitening,
 )
 from tessera.llm.common import land, read_table
 from tessera.session import scratch_dir
@@ -138,6 +138,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@_register
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the leading whitened components of all vectors."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 @_register
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near words, form and root of every word of all documents."""
