@@ -33,6 +33,7 @@ from tessera.plans.registry import query
 from tessera.session import scratch_dir
 from tessera.sources import tables as T
 from tessera.sources.csv import read_csv, write_csv
+from tessera.sources.csv_ranges import read_csv_ranges
 from tessera.sources.text import parse_delimited, read_lines, to_delimited_line, write_lines
 
 # Column widths of the category report lines.
@@ -106,6 +107,19 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, DOCUMENT_SCHEMA, keep_empty_strings=True)
 
 
+@query(
+    "csv_parallel_ranges",
+    "SELECT doc_id, text, lang, source, n_chars FROM documents",
+    "SRC3",
+)
+def csv_parallel_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same CSV in files of any size, each read by as many tasks as it has
+    byte ranges, wherever the cuts fall."""
+    path = scratch_dir(spark, "documents-csv-ranges")
+    write_csv(T.read_table(spark, sf_dir, "documents").select(*DOCUMENT_COLUMNS), path, records_per_file=0)
+    return read_csv_ranges(spark, path, DOCUMENT_SCHEMA, keep_empty_strings=True)
+
+
 def _inferred_int(column: str) -> str:
     return f"(SELECT CASE WHEN max({column}) > 2147483647 THEN 'bigint' ELSE 'int' END FROM orders)"
 
