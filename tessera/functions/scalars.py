@@ -147,6 +147,38 @@ def b64_encode(c: ColumnOrName) -> Column:
 B64_FOREIGN = "[^A-Za-z0-9+/=]"
 B64_ONLY_ALPHABET = r"^[A-Za-z0-9+/=]*\z"  # \z: absolute end ($ also matches before a final newline)
 B64_NON_ASCII = r"[^\x00-\x7F]"
+B64_BEHIND_PADDING = "(?<==)(?=[^=])"  # where data follows padding
+
+
+def _b64_data(c: Column) -> tuple[Column, Column, Column]:
+    """Data characters that Python's scan of a base64 text uses, their number
+    and whether the text is valid (NULL: it has non-ASCII characters).
+
+    The scan counts data characters; an ``=`` ends it if it completes a quad
+    (two after 4k + 2, one after 4k + 3 data characters) and is skipped
+    otherwise.  Padding at the end alone, the normal case, needs no scan: only
+    text with an ``=`` before data is cut into segments of data and padding,
+    which are followed one by one."""
+    clean = F.when(c.rlike(B64_ONLY_ALPHABET), c).when(
+        ~c.rlike(B64_NON_ASCII), F.regexp_replace(c, B64_FOREIGN, "")
+    )
+    data = F.rtrim(clean, F.lit("="))
+    inner = F.instr(data, "=") > 0
+
+    def ends(n: Column, pads: Column) -> Column:
+        return ((n % 4 == 2) & (pads >= 2)) | ((n % 4 == 3) & (pads >= 1))
+
+    def follow(state: Column, segment: Column) -> Column:
+        here = F.length(F.rtrim(segment, F.lit("=")))
+        n = state["n"] + here
+        return F.when(state["ended"], state).otherwise(
+            F.struct(n.alias("n"), ends(n, F.length(segment) - here).alias("ended")))
+
+    scanned = F.aggregate(F.split(clean, B64_BEHIND_PADDING), F.struct(F.lit(0).alias("n"), F.lit(False).alias("ended")), follow)
+    n = F.when(inner, scanned["n"]).otherwise(F.length(data))
+    ended = F.when(inner, scanned["ended"]).otherwise(ends(F.length(data), F.length(clean) - F.length(data)))
+    used = F.when(inner, F.substr(F.replace(clean, F.lit("="), F.lit("")), F.lit(1), scanned["n"])).otherwise(data)
+    return used, n, ended | (n % 4 == 0)
 
 
 def b64_decode(c: ColumnOrName) -> Column:
@@ -155,31 +187,27 @@ def b64_decode(c: ColumnOrName) -> Column:
 
     * text with a non-ASCII character is invalid (Python rejects such a str);
     * other characters outside the base64 alphabet are ignored;
-    * with ``L`` data characters and ``P`` trailing ``=``: ``L % 4 == 0`` is
+    * with ``L`` data characters and ``P`` ``=`` behind them: ``L % 4 == 0`` is
       valid with any padding, ``L % 4 == 2`` needs ``P >= 2``, ``L % 4 == 3``
-      needs ``P >= 1``, ``L % 4 == 1`` is never valid.
-
-    One difference is kept on purpose: an ``=`` followed by more data
-    characters gives NULL (Python skips it or stops decoding early).
+      needs ``P >= 1``, ``L % 4 == 1`` is never valid;
+    * an ``=`` amid data ends the text if it completes a quad, and is ignored
+      if not.
 
     Cost: text made only of alphabet characters (the normal case) needs no
     rewrite; only text with foreign characters pays for the character-class
-    regex."""
-    c = _col(c)
-    clean = F.when(c.rlike(B64_ONLY_ALPHABET), c).when(
-        ~c.rlike(B64_NON_ASCII), F.regexp_replace(c, B64_FOREIGN, "")
-    )  # NULL (invalid) for non-ASCII text
-    data = F.rtrim(clean, F.lit("="))
-    n = F.length(data)
-    pads = F.length(clean) - n
-    rest = n % 4
-    valid = (F.instr(data, "=") == 0) & (
-        (rest == 0) | ((rest == 2) & (pads >= 2)) | ((rest == 3) & (pads >= 1))
-    )
-    padded = F.when(rest == 0, data).otherwise(F.concat(data, F.substring(F.lit("=="), 1, 4 - rest)))
+    regex, and only text with an inner ``=`` for the scan."""
+    data, n, valid = _b64_data(_col(c))
+    padded = F.when(n % 4 == 0, data).otherwise(F.concat(data, F.substring(F.lit("=="), 1, 4 - n % 4)))
     return F.when(valid, F.try_to_binary(padded, F.lit("base64")))
 
 
+def b64_length(c: ColumnOrName) -> Column:
+    """Bytes that ``b64_decode`` would give, NULL when the text is not valid:
+    counted from the characters, nothing is decoded."""
+    _, n, valid = _b64_data(_col(c))
+    return F.when(valid, F.floor(n * 3 / 4).cast("int"))
+
+
 def frame_file_name(frame_id: ColumnOrName) -> Column:
     """``frame_%04d.jpg``; ids wider than 4 digits are kept whole."""
     return F.format_string(FRAME_FILE_PATTERN, _col(frame_id).cast("bigint"))

@@ -14,6 +14,17 @@ def sized_partitions(df: DataFrame, rows_per_partition: int) -> DataFrame:
     return df.repartition(max(1, df.count() // rows_per_partition))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of all files that ``df`` scans, by Spark's statistics (no job);
+    sources of unknown size count as nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    total = 0
+    while leaves.hasNext():
+        size = int(str(leaves.next().stats().sizeInBytes()))
+        total += size if size < 1 << 60 else 0
+    return total
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute a (small) intermediate result once and cut its lineage, for a
     plan that reads it more than once (e.g. a grand total and a top-N of the

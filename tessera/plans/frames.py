@@ -12,7 +12,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import frame_file_name
@@ -27,7 +27,8 @@ from tessera.operators.frames import (
     packet_counters,
     parse_packets,
     replace_in_frames,
-    with_model_mask,
+    until_end,
+    with_batched_mask,
 )
 from tessera.operators.join import union_all
 from tessera.operators.partitioning import sized_partitions
@@ -45,6 +46,11 @@ NO_MASK_LABEL = 0                      # frames with this label have no mask
 SHORT_MASK_LABEL, SHORT_MASK_LEN = 1, 32  # frames with this label have a mask of the wrong length
 
 
+BROKEN_BELOW = -0.125                  # the stand-in model fails on frames whose first pixel is below
+SENDER_PAGES = 100                     # pages a sender's packet file holds
+END_BEHIND = 59                        # place in its file of the last page in front of END (even senders)
+
+
 # ------------------------------------------------------------------ builders
 def page_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_packets(T.read_table(spark, sf_dir, "pages"), "page_id", "html", keep=["url"])
@@ -117,6 +123,33 @@ def rgb_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stand_in_model():
+    """Stands in for loading a segmentation model: mask values are the pixels'
+    sizes; a call with a broken frame fails as a whole."""
+
+    def model(stack):
+        if (stack[:, 0] < BROKEN_BELOW).any():
+            raise ValueError("broken frame")
+        return np.abs(stack).astype(np.float64)
+
+    return model
+
+
+def write_sender_files(lines: DataFrame, path: str, order: list[str]) -> None:
+    """One text file per sender with its lines in order (columns sender, value)."""
+    (lines.repartition("sender").sortWithinPartitions("sender", *order).select("sender", "value")
+     .write.partitionBy("sender").text(path))
+
+
+def write_ended_senders(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Packets of every SENDER_PAGES pages in one file; even senders end early,
+    with packets behind the marker."""
+    packets = page_packets(spark, sf_dir).withColumn("sender", F.floor(F.col("frame_id") / SENDER_PAGES))
+    last = (F.col("sender") % 2 == 0) & (F.col("frame_id") % SENDER_PAGES == END_BEHIND)
+    lines = F.when(last, F.array("packet", F.lit(END_MARKER))).otherwise(F.array("packet"))
+    write_sender_files(packets.select("sender", "frame_id", F.posexplode(lines).alias("k", "value")), path, ["frame_id", "k"])
+
+
 # --------------------------------------------------------------------- SQL
 SQL_ENC = "SELECT page_id, url, to_base64(encode(html)) AS payload FROM pages"
 SQL_LINES = f"""enc AS ({SQL_ENC}),
@@ -246,6 +279,37 @@ def packet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SQL_UNTIL_END = f"""u AS (SELECT page_id, html FROM pages WHERE ((page_id // {SENDER_PAGES}) % 2 = 1
+      OR page_id % {SENDER_PAGES} <= {END_BEHIND}) AND octet_length(encode(html)) > 0)"""
+
+
+@query(
+    "packet_until_end",
+    f"""WITH {SQL_UNTIL_END}
+SELECT page_id AS frame_id, CAST(octet_length(encode(html)) AS INTEGER) AS n_bytes, html AS text FROM u""",
+    "FIL7 SRC5",
+)
+def packet_until_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packet files of several senders, each read up to its END marker."""
+    path = scratch_dir(spark, "ended-senders")
+    write_ended_senders(spark, sf_dir, path)
+    return decoded_page_frames(until_end(read_packet_lines(spark, path, with_arrival=True)))
+
+
+@query(
+    "packet_until_end_stream",
+    f"""WITH {SQL_UNTIL_END}
+SELECT printf('frame_%04d.jpg', page_id) AS file_name, CAST(octet_length(encode(html)) AS BIGINT) AS length,
+       hex(encode(html)) AS content_hex FROM u""",
+    "FIL7 SRC5 STR1 SNK3",
+)
+def packet_until_end_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files as a stream, to one file per frame."""
+    base = scratch_dir(spark, "ended-senders-stream")
+    write_ended_senders(spark, sf_dir, f"{base}/in")
+    return _streamed_frames(spark, base)
+
+
 @query(
     "masked_replace",
     f"""WITH f AS (SELECT vec_id AS frame_id, embedding AS px,
@@ -268,19 +332,19 @@ def masked_replace_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "model_mask_replace",
-    """SELECT vec_id AS frame_id,
-       list_transform(embedding, lambda x: CASE WHEN CAST(abs(x) AS DOUBLE) > 0.2 THEN CAST(192 AS FLOAT) ELSE x END) AS pixels,
-       true AS replaced
+    f"""SELECT vec_id AS frame_id,
+       CASE WHEN embedding[1] < {BROKEN_BELOW} THEN embedding ELSE
+         list_transform(embedding, lambda x: CASE WHEN CAST(abs(x) AS DOUBLE) > 0.2 THEN CAST(192 AS FLOAT) ELSE x END) END AS pixels,
+       embedding[1] >= {BROKEN_BELOW} AS replaced
 FROM embeddings""",
     "UDF4 SCA21",
 )
 def model_mask_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Masks made by a function on the executors, then replaced pixels."""
+    """Masks made by a model that is loaded once per worker and sees many frames
+    a call, then replaced pixels; frames it fails on stay as they are."""
     frames = T.read_table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("frame_id"), F.col("embedding").alias("pixels"))
-    # stands in for a segmentation model: a mask value per pixel
-    model = lambda pixels: np.abs(pixels).astype(np.float64)
-    return masked_replace(with_model_mask(frames, "pixels", model), "pixels", "mask").select(
+    return masked_replace(with_batched_mask(frames, "pixels", _stand_in_model), "pixels", "mask").select(
         "frame_id", "pixels", "replaced")
 
 
@@ -334,6 +398,23 @@ def frame_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("file_name", "length", F.decode("content", "UTF-8").alias("text"))
 
 
+@query(
+    "latest_frame_stream",
+    f"""WITH {SQL_LATEST}
+SELECT file_name, CAST(octet_length(encode(text)) AS BIGINT) AS length, hex(encode(text)) AS content_hex FROM latest""",
+    "STR3 STR1 SRC5 SNK3",
+)
+def latest_frame_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated frame ids as a stream: packets of whole conversations in files, in
+    order of turns; the last one that arrived is each frame's file."""
+    base = scratch_dir(spark, "repeated-frames")
+    packets = encode_packets(T.read_table(spark, sf_dir, "conversations"), "conv_id", "text", keep=["turn"])
+    lines = packets.select(F.floor(F.col("frame_id") / SENDER_PAGES).alias("sender"), "frame_id", "turn",
+                           F.col("packet").alias("value"))
+    write_sender_files(lines, f"{base}/in", ["frame_id", "turn"])
+    return _streamed_frames(spark, base)
+
+
 def _byte_mask():
     """Stands in for a segmentation model on raw bytes; it fails on frames of
     an odd number of bytes, which then stay as they are."""
@@ -350,6 +431,15 @@ def _written_frames(spark: SparkSession, path: str) -> DataFrame:
     return read_frame_files(spark, path).select("file_name", "length", F.hex("content").alias("content_hex"))
 
 
+def _streamed_frames(spark: SparkSession, base: str, transform=None) -> DataFrame:
+    """Frames of the packet files in ``base/in``, through the frame-file stream."""
+    q = start_frame_file_stream(spark, f"{base}/in", f"{base}/frames", f"{base}/checkpoint", transform=transform)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"frame stream failed: {q.exception()}")
+    return _written_frames(spark, f"{base}/frames")
+
+
 SQL_PIPELINE = f"""{SQL_LINES},
 hexed AS (SELECT frame_id, data, hex(data) AS h FROM dec WHERE data IS NOT NULL AND octet_length(data) > 0),
 done AS (SELECT frame_id, octet_length(data) AS n, octet_length(data) % 2 = 0 AS replaced,
@@ -377,12 +467,7 @@ def frame_pipeline_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "frame-pipeline-stream")
     write_packet_lines(packet_lines_with_faults(spark, sf_dir), f"{base}/in")
     mask = _byte_mask()
-    q = start_frame_file_stream(spark, f"{base}/in", f"{base}/frames", f"{base}/checkpoint",
-                                transform=lambda frames: replace_in_frames(frames, mask))
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(f"frame stream failed: {q.exception()}")
-    return _written_frames(spark, f"{base}/frames")
+    return _streamed_frames(spark, base, lambda frames: replace_in_frames(frames, mask))
 
 
 @query(
@@ -394,14 +479,17 @@ FROM done""",
     "AGG19 FIL6 SCA16 STR4 SNK3",
 )
 def frame_pipeline_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines received, frames decoded, replaced and saved as files."""
-    lines, path = packet_lines_with_faults(spark, sf_dir), scratch_dir(spark, "frame-counters")
-    frames = replace_in_frames(decode_packets(parse_packets(lines)), _byte_mask())
+    """Lines received, frames decoded, replaced and saved as files, all counted
+    in the one pass that writes the files."""
+    path = scratch_dir(spark, "frame-counters")
+    received, made = Observation("packet_lines"), Observation("frames")
+    lines = packet_lines_with_faults(spark, sf_dir).observe(received, F.count(F.lit(1)).alias("received"))
+    frames = replace_in_frames(decode_packets(parse_packets(lines)), _byte_mask()).observe(
+        made, F.count(F.lit(1)).alias("decoded"), F.count_if("replaced").alias("replaced"))
     write_frame_files(frames.select(frame_file_name("frame_id").alias("file_name"), F.col("data").alias("content")), path)
-    counts = saved_counts(path)
-    return frame_counters(frames).select(
-        lines.select(F.count(F.lit(1))).scalar().alias("received"), F.col("frames").alias("decoded"), "replaced",
-        F.lit(counts["saved"]).cast("bigint").alias("saved"), F.lit(counts["skipped"]).cast("bigint").alias("skipped"))
+    counts = {**received.get, **made.get, **saved_counts(path)}
+    return spark.range(1).select(*[F.lit(counts[c]).cast("bigint").alias(c)
+                                   for c in ("received", "decoded", "replaced", "saved", "skipped")])
 
 
 @query(
