@@ -7,6 +7,7 @@ from tessera.llm.substring_dedup import MIN_WORDS
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORD = r"'[^\x20\x09-\x0D]+'"
+_GAP = r"'[\x20\x09-\x0D]+'"
 
 NEAR_DEDUP = f"""WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), {_WORD}) AS words FROM documents),
@@ -38,10 +39,38 @@ f AS (SELECT *, first_value(doc_id) OVER o AS kept_doc_id, first_value(start) OV
       WINDOW o AS (PARTITION BY unit ORDER BY doc_id, start)),
 r AS (SELECT *, line - row_number() OVER (PARTITION BY doc_id ORDER BY line) AS run FROM f
       WHERE doc_id <> kept_doc_id OR start <> kept_start),
-t AS (SELECT *, sum(n_words) OVER (PARTITION BY doc_id, run) AS run_words FROM r)
+t AS (SELECT *, sum(n_words) OVER (PARTITION BY doc_id, run) AS run_words FROM r),
+lines AS (SELECT doc_id, start, length, n_words, kept_doc_id, kept_start FROM t WHERE run_words >= {MIN_WORDS}),
+tw AS (SELECT doc_id, regexp_extract_all(translate(text, {_LOWER}), {_WORD}) AS words,
+              regexp_extract_all(text, {_GAP}) AS gaps, regexp_matches(text, '^' || {_GAP}) AS lead
+       FROM documents WHERE text IS NOT NULL),
+wl AS (SELECT doc_id, unnest(list_transform(words, lambda x: length(x))) AS n, generate_subscripts(words, 1) AS i,
+              unnest(list_transform(CASE WHEN lead THEN gaps[2:] ELSE gaps END || [''], lambda x: length(x))[1:len(words)]) AS gap,
+              CASE WHEN lead THEN length(gaps[1]) ELSE 0 END AS first FROM tw),
+wo AS (SELECT doc_id, i - 1 AS p, n, first + sum(n + gap) OVER (PARTITION BY doc_id ORDER BY i) - n - gap AS start FROM wl),
+win AS (SELECT doc_id, unnest(list_transform(range(len(words) - {MIN_WORDS - 1}),
+               lambda i: md5(array_to_string(words[i + 1:i + {MIN_WORDS}], ' ')))) AS digest,
+               unnest(range(len(words) - {MIN_WORDS - 1})) AS place FROM tw WHERE len(words) >= {MIN_WORDS}),
+again AS (SELECT * FROM (SELECT doc_id, place, first_value(doc_id) OVER o AS kept_doc_id, first_value(place) OVER o AS kept_place
+          FROM win WINDOW o AS (PARTITION BY digest ORDER BY doc_id, place))
+          WHERE doc_id <> kept_doc_id OR place >= kept_place + {MIN_WORDS}),
+reach AS (SELECT doc_id, p, start, n, last_value(place IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY p) AS nearest
+          FROM (SELECT wo.doc_id, p, start, n, place FROM wo LEFT JOIN again ON again.doc_id = wo.doc_id AND again.place = wo.p)),
+gone AS (SELECT reach.doc_id, p, reach.start, n, p - row_number() OVER (PARTITION BY reach.doc_id ORDER BY p) AS run
+         FROM reach LEFT JOIN lines ON lines.doc_id = reach.doc_id AND reach.start >= lines.start
+              AND reach.start < lines.start + lines.length
+         WHERE nearest > p - {MIN_WORDS} AND lines.doc_id IS NULL),
+spans AS (SELECT doc_id, min(p) AS p, min(start) AS start, max(start + n) - min(start) AS length, count(*) AS n_words
+          FROM gone GROUP BY doc_id, run),
+passages AS (SELECT spans.doc_id, spans.start, length, n_words, kept_doc_id, kept_place,
+                    row_number() OVER (PARTITION BY spans.doc_id, spans.p ORDER BY place <> spans.p, place) AS choice
+             FROM spans JOIN again ON again.doc_id = spans.doc_id AND place > spans.p - {MIN_WORDS} AND place <= spans.p)
 SELECT doc_id, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length, CAST(n_words AS BIGINT) AS n_words,
        kept_doc_id, CAST(kept_start AS BIGINT) AS kept_start
-FROM t WHERE run_words >= {MIN_WORDS}"""
+FROM lines
+UNION ALL
+SELECT passages.doc_id, CAST(passages.start AS BIGINT), CAST(length AS BIGINT), n_words, kept_doc_id, CAST(wo.start AS BIGINT)
+FROM passages JOIN wo ON wo.doc_id = kept_doc_id AND wo.p = kept_place WHERE choice = 1"""
 
 ARC_TO_WARC = f"""WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
