@@ -5,7 +5,9 @@ IPv4 addresses, dates, social security numbers, phone numbers and long digit
 numbers.  Candidates that pass their kind's validation are permuted within
 their format by a keyed Feistel network, so a pseudonym is valid in the same
 way and equal values get equal pseudonyms in every document; without the key
-nothing can be traced back, with it ``reveal`` inverts it.
+nothing can be traced back, with it ``reveal`` inverts it.  Rounds are HMAC-SHA256
+under a key derived from the caller's: query plans show what is derived (enough
+to trace values back, so plans are to be kept like the data), never the key.
 
 * Digit strings: alternating Feistel over the two halves, modulo powers of ten.
   Card numbers (Luhn) and IBANs (mod 97) get new check digits.
@@ -13,6 +15,11 @@ nothing can be traced back, with it ``reveal`` inverts it.
   exactly the valid values.  IPv4: over two 16-bit halves.
 * E-mail names and secrets: Feistel over the two halves, each character
   shifted within its class (digit, lower, upper); domains stay.
+* An IBAN printed in groups of four gets the pseudonym of its compact form.
+
+All patterns are bounded, so long texts cost in proportion: an e-mail name has at
+most 256 characters, a domain 127 labels of 63; what is longer is no address and
+stays.
 
 Defined results: null text stays null; empty text stays empty; candidates that
 fail validation stay as they are; repeated rows and ties change alike; all
@@ -21,6 +28,9 @@ columns are kept; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import hashlib
+import hmac
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +44,8 @@ _NOT_BEFORE_CARD = (r"(?![0-9]{1,12}[ \-](?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4
                     r"(?![0-9]))")
 KINDS = {
     "secret": r"[0-9a-fA-F]{32,128}",
-    "iban": r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}",
-    "email": r"[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+",
+    "iban": r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?)",
+    "email": r"[A-Za-z0-9._%+\-]{1,256}+@[A-Za-z0-9\-]{1,63}+(?:\.[A-Za-z0-9\-]{1,63}+){1,126}+(?!\.[A-Za-z0-9\-])",
     "ip": r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
     "iso_date": r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?!-?[0-9])",
     "dot_date": r"[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?!\.?[0-9])",
@@ -63,11 +73,24 @@ _FIRST_DAY, _DAYS, _DAY_RADIX = "1900-01-01", 73049, 4297  # 17 * 4297 days are
 _SSN_AREAS, _SSN_REST, _SERIALS = 898, 99 * 9999, 9999
 
 
+def _pads(key: str) -> tuple[bytes, bytes]:
+    """Inner and outer HMAC key blocks under a key derived from the caller's."""
+    block = hmac.new(key.encode(), b"format-preserving pseudonyms", hashlib.sha256).digest().ljust(64, b"\0")
+    return bytes(b ^ 0x36 for b in block), bytes(b ^ 0x5C for b in block)
+
+
+def _keyed_hash(key: str, *parts: Column) -> Column:
+    """HMAC-SHA256 of the parts, as 64 hexadecimal digits."""
+    inner, outer = _pads(key)
+    first = F.sha2(F.concat(F.lit(inner), F.concat_ws("|", *parts).cast("binary")), 256)
+    return F.sha2(F.concat(F.lit(outer), F.unhex(first)), 256)
+
+
 def _round_value(key: str, kind: Column | str, turn: Column, value: Column) -> Column:
     """60 keyed pseudorandom bits."""
     kind = F.lit(kind) if isinstance(kind, str) else kind
-    text = F.concat_ws("|", F.lit(key), kind, turn.cast("string"), value.cast("string"))
-    return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("bigint")
+    digest = _keyed_hash(key, kind, turn.cast("string"), value.cast("string"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 def _feistel(key: str, kind, left: Column, right: Column, left_radix: Column, right_radix: Column,
@@ -135,8 +158,7 @@ def _permute_characters(key: str, kind: str, text: Column, letters: int, inverse
         # two hexadecimal digits for each character of a half
         stream = F.array_join(F.transform(
             F.sequence(F.lit(0), F.floor(n / 64).cast("int")),
-            lambda i: F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), turn.cast("string"), i.cast("string"), other), 256)
-        ), "")
+            lambda i: _keyed_hash(key, F.lit(kind), turn.cast("string"), i.cast("string"), other)), "")
         return _with(stream, lambda s: F.struct(
             F.when(on_left, shifted(state["a"], s)).otherwise(state["a"]).alias("a"),
             F.when(on_left, state["b"]).otherwise(shifted(state["b"], s)).alias("b")))
@@ -233,12 +255,29 @@ def _date(key: str, text: Column, day: Column, form: str, inverse: bool) -> Colu
     return F.coalesce(_with(day, lambda d: F.when(d.isNotNull(), of(d))), text)
 
 
-def _iban(key: str, text: Column, inverse: bool) -> Column:
-    country, body = F.substring(text, 1, 2), F.substring(text, F.lit(5), F.length(text))
-    valid = _mod97(F.concat(body, F.substring(text, 1, 4))) == 1
-    moved = _with(_permute_characters(key, "iban", body, 26, inverse), lambda b: F.concat(
+def _valid_iban(compact: Column) -> Column:
+    return _mod97(F.concat(F.substring(compact, F.lit(5), F.length(compact)), F.substring(compact, 1, 4))) == 1
+
+
+def _moved_iban(key: str, compact: Column, inverse: bool) -> Column:
+    country, body = F.substring(compact, 1, 2), F.substring(compact, F.lit(5), F.length(compact))
+    return _with(_permute_characters(key, "iban", body, 26, inverse), lambda b: F.concat(
         country, _pad(98 - _mod97(F.concat(b, country, F.lit("00"))), F.lit(2)), b))
-    return F.when(valid, moved).otherwise(text)
+
+
+def _iban(key: str, text: Column, inverse: bool) -> Column:
+    """Solid or in groups; of a grouped one the last group may be the next word,
+    and where neither is an IBAN a number behind the first group is one."""
+    def grouped(part: Column) -> Column:
+        return _with(F.replace(part, F.lit(" "), F.lit("")), lambda c: F.when(_valid_iban(c), F.regexp_replace(
+            _moved_iban(key, c, inverse), "(.{4})(?=.)", "$1 ")))
+
+    rest = F.substring(text, F.lit(6), F.length(text))
+    number = F.when(rest.rlike(f"^(?:{KINDS['number']})$"), F.concat(F.substring(text, 1, 5), _number(key, rest, inverse)))
+    shorter = F.regexp_replace(text, " [^ ]+$", "")
+    cut = F.concat(grouped(shorter), F.substring(text, F.length(shorter) + 1, F.length(text)))
+    return F.when(~text.contains(" "), F.when(_valid_iban(text), _moved_iban(key, text, inverse)).otherwise(text)
+                  ).otherwise(F.coalesce(grouped(text), cut, number, text))
 
 
 def _email(key: str, text: Column, inverse: bool) -> Column:
@@ -263,8 +302,7 @@ def pseudonym(text: Column, key: str, inverse: bool = False) -> Column:
     }
     out = text
     for kind in reversed(KINDS):
-        pattern = KINDS[kind].replace("++@", "+@")
-        out = F.when(text.rlike(f"^(?:{pattern})$"), forms[kind]).otherwise(out)
+        out = F.when(text.rlike(f"^(?:{KINDS[kind]})$"), forms[kind]).otherwise(out)
     return out
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,12 +65,16 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "item_id", "n_windows", "item_windows", "verbatim")
 
 
-#: Session setting with the pseudonym key; the fallback is for tests only.
-PII_KEY = "spark.tessera.piiKey"
+#: Session setting with the pseudonym key (Spark redacts settings named so).
+PII_KEY = "spark.tessera.pii.secret"
+_ONE_TIME_KEYS: dict[str, str] = {}
 
 
 def pii_key(spark: SparkSession) -> str:
-    return spark.conf.get(PII_KEY, "tessera-test-key")
+    """The configured key; without one, a random key of this application that is
+    kept nowhere: values stay linked within it and can never be traced back."""
+    configured = spark.conf.get(PII_KEY, None)
+    return configured or _ONE_TIME_KEYS.setdefault(spark.sparkContext.applicationId, secrets.token_hex(32))
 
 
 @_register
