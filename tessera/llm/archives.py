@@ -12,6 +12,10 @@ decisions, a few numbers per record, travel to the task that holds the file.
 ``write_arc`` makes the legacy archives from a pages table; ``read_warc`` gives
 the records of WARC files.
 
+Archives are streamed: a task holds one record, not the file.  Damage is stepped
+over and counted: a record line that is none, a block that ends early, a gzip
+member that does not unpack; reading goes on at the next record line or member.
+
 Defined results: null html is an empty payload; a null url becomes
 ``urn:page:<id>``; null page ids stay null and lose against any other; of
 repeated rows the later record stays the response; an empty table gives no
@@ -21,7 +25,6 @@ file and an empty result.
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
 import io
 import uuid
@@ -39,6 +42,9 @@ from tessera.llm.files import filesystem, write_file
 REVISIT_BYTES = 1000
 #: Raw bytes after which a task starts the next archive file.
 FILE_BYTES = 16 << 20
+#: Bytes of archives that a task converts, where there are enough files.
+TASK_BYTES = 128 << 20
+_CHUNK = 1 << 18
 #: Capture time of pages that have none.
 CAPTURE_DATE = "20240101000000"
 
@@ -115,29 +121,156 @@ def write_arc(pages: DataFrame, folder: str, version: int | None = None, date: s
         _write_arc_task(folder, version, date), "path string, records bigint"), "arc-files")
 
 
-def read_arc(content: bytes) -> Iterator[dict]:
-    """Records of one ARC file (plain or gzip): the fields its version block
-    names, lower-cased, and ``block``."""
-    stream = gzip.GzipFile(fileobj=io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
+class _Broken(Exception):
+    """The data asked for are cut off by a damaged gzip member."""
+
+
+class _Stream:
+    """Decompressed bytes of a plain or gzip file.  Behind a damaged member it goes
+    on at the next one; what would reach over the gap raises ``_Broken``."""
+
+    def __init__(self, raw):
+        self.raw, self.held, self.gap = raw, bytearray(), None
+        self.pending, self.ended = raw.read(_CHUNK), False
+        self.zipped = self.pending[:2] == b"\x1f\x8b"
+        self.member = zlib.decompressobj(31) if self.zipped else None
+
+    def _more(self) -> bool:
+        """Take in another piece; False at the end of the file."""
+        if self.gap is not None or self.ended:
+            return False
+        data, self.pending = self.pending or self.raw.read(_CHUNK), b""
+        if not data:
+            self.ended = True
+            return False
+        if not self.zipped:
+            self.held += data
+            return True
+        try:
+            self.held += self.member.decompress(data, _CHUNK)
+            self.pending = self.member.unconsumed_tail or self.member.unused_data
+            if self.member.eof:
+                self.member = zlib.decompressobj(31)
+                if self.pending[:1] != b"\x1f" and self.pending:
+                    self._next_member(self.pending)
+        except zlib.error:
+            self._next_member(data[1:])
+        return True
+
+    def _next_member(self, data: bytes) -> None:
+        """Look for the next member in ``data`` and behind it."""
+        self.gap = len(self.held)
+        self.member = zlib.decompressobj(31)
+        while True:
+            at = data.find(b"\x1f\x8b\x08")
+            if at >= 0:
+                self.pending = data[at:]
+                return
+            more = self.raw.read(_CHUNK)
+            if not more:
+                self.ended = True
+                return
+            data = data[-2:] + more
+
+    def _take(self, n: int) -> bytes:
+        if self.gap is not None and n >= len(self.held) and n > self.gap:
+            n = self.gap
+        out = bytes(self.held[:n])
+        del self.held[:n]
+        if self.gap is not None:
+            self.gap -= n
+        return out
+
+    def _cross(self) -> None:
+        """At a gap: drop what is in front of it and tell."""
+        del self.held[: self.gap]
+        self.gap = None
+        raise _Broken
+
+    def readline(self) -> bytes:
+        at = 0
+        while True:
+            end = self.held.find(b"\n", at, None if self.gap is None else self.gap)
+            if end >= 0:
+                return self._take(end + 1)
+            if self.gap is not None:
+                self._cross()
+            at = len(self.held)
+            if not self._more() and self.gap is None:
+                return self._take(len(self.held))
+
+    def read(self, n: int) -> bytes:
+        while len(self.held) < n or self.gap is not None and self.gap < n:
+            if self.gap is not None:
+                self._cross()
+            if not self._more() and self.gap is None:
+                break
+        return self._take(min(n, len(self.held)))
+
+
+def _record_line(text: str, fields: list[str], lost: bool) -> dict | None:
+    """The fields of a record line, None if it is none.  Behind a damaged place
+    the url must look like one."""
+    values = text.rsplit(" ", len(fields) - 1)  # an old url may hold spaces
+    found = dict(zip(fields, values))
+    if (len(values) < len(fields) or not found["archive-length"].isdigit() or not found["archive-date"].isdigit()
+            or lost and ":" not in found["url"]):
+        return None
+    return found
+
+
+def read_arc(raw, damaged: list | None = None) -> Iterator[dict]:
+    """Records of one ARC file (bytes or a stream, plain or gzip): the fields its
+    version block names, lower-cased, and ``block``.  What is damaged is skipped
+    and described in ``damaged``."""
+    stream = _Stream(io.BytesIO(raw) if isinstance(raw, (bytes, bytearray)) else raw)
+    damaged = [] if damaged is None else damaged
     fields: list[str] | None = None
-    while line := stream.readline():
-        if not line.strip():
-            continue
-        text = line.decode("utf-8", "replace").rstrip("\r\n")
-        length = int(text.rsplit(" ", 1)[1])
-        block = stream.read(length)
-        if len(block) != length:
-            raise ValueError(f"record ends early: {text[:80]!r}")
-        if fields is None:
-            if not text.startswith("filedesc:"):
-                raise ValueError("an ARC file starts with its version block")
-            head = block.decode("utf-8", "replace").split("\n")
-            fields = head[1].lower().split()
-            if int(head[0].split()[0]) not in ARC_FIELDS:
-                raise ValueError(f"unknown ARC version {head[0]!r}")
-            continue
-        values = text.rsplit(" ", len(fields) - 1)  # an old url may hold spaces
-        yield dict(zip(fields, values)) | {"block": block}
+    lost = False  # between a damaged place and the next record line
+
+    def loss(what: str) -> None:
+        nonlocal lost
+        if not lost:
+            damaged.append(what)
+        lost = True
+
+    while True:
+        try:
+            line = stream.readline()
+            if not line:
+                return
+            if not line.strip():
+                continue
+            text = line.decode("utf-8", "replace").rstrip("\r\n")
+            if text.startswith("filedesc:") and text.rsplit(" ", 1)[1].isdigit():
+                head = stream.read(int(text.rsplit(" ", 1)[1])).decode("utf-8", "replace").split("\n")
+                named = head[1].lower().split() if len(head) > 1 else []
+                if {"url", "archive-date", "archive-length"} <= set(named):
+                    fields, lost = named, False
+                else:
+                    loss(f"unknown version block {head[0][:80]!r}")
+                continue
+            found = None
+            for names in [fields] if fields else [ARC_FIELDS[v].lower().split() for v in (2, 1)]:
+                found = _record_line(text, names, lost or fields is None)
+                if found:
+                    if fields is None:  # the version block is missing: this line tells the version
+                        loss("no version block")
+                        fields = names
+                    break
+            if found is None:
+                loss(f"no record line: {text[:80]!r}")
+                continue
+            length = int(found["archive-length"])
+            block = stream.read(length)
+            if len(block) != length:
+                loss(f"record ends early: {text[:80]!r}")
+                return
+            lost = False
+            yield found | {"block": block}
+        except _Broken:
+            lost = False
+            loss("damaged gzip member")
 
 
 def _split_http(block: bytes) -> tuple[bytes, bytes]:
@@ -172,66 +305,98 @@ def record_id(url: str, date: str, sha1: bytes, page_id) -> str:
     return f"<urn:uuid:{uuid.UUID(bytes=seed[:16], version=5)}>"
 
 
+def _open_file(path: str):
+    store, place = filesystem(path)
+    return store.open_input_stream(place, compression=None)
+
+
+_INDEX = ("path string, number bigint, page_id bigint, n_bytes bigint, sha1 binary, record_id string, url string, "
+          "date string")
+_INDEX_ROWS = 4096
+
+
 def _index_task(batches):
+    schema = pa.schema([("path", pa.string()), ("number", pa.int64()), ("page_id", pa.int64()), ("n_bytes", pa.int64()),
+                        ("sha1", pa.binary()), ("record_id", pa.string()), ("url", pa.string()), ("date", pa.string())])
     for batch in batches:
-        for path, value in zip(batch.column("path").to_pylist(), batch.column("content")):
+        for path in batch.column("path").to_pylist():
             rows = []
-            for number, record in enumerate(read_arc(value.as_buffer().to_pybytes())):
-                head, payload = _split_http(record["block"])
-                sha1, page_id = hashlib.sha1(payload).digest(), _page_id(head)
-                rows.append({"path": path, "number": number, "page_id": page_id, "n_bytes": len(payload), "sha1": sha1,
-                             "record_id": record_id(record["url"], record["archive-date"], sha1, page_id),
-                             "url": record["url"], "date": _iso(record["archive-date"])})
+            with _open_file(path) as f:
+                for number, record in enumerate(read_arc(f)):
+                    head, payload = _split_http(record["block"])
+                    sha1, page_id = hashlib.sha1(payload).digest(), _page_id(head)
+                    rows.append({"path": path, "number": number, "page_id": page_id, "n_bytes": len(payload), "sha1": sha1,
+                                 "record_id": record_id(record["url"], record["archive-date"], sha1, page_id),
+                                 "url": record["url"], "date": _iso(record["archive-date"])})
+                    if len(rows) >= _INDEX_ROWS:
+                        yield pa.RecordBatch.from_pylist(rows, schema)
+                        rows = []
             if rows:
-                yield pa.RecordBatch.from_pylist(rows, pa.schema([
-                    ("path", pa.string()), ("number", pa.int64()), ("page_id", pa.int64()), ("n_bytes", pa.int64()),
-                    ("sha1", pa.binary()), ("record_id", pa.string()), ("url", pa.string()), ("date", pa.string())]))
+                yield pa.RecordBatch.from_pylist(rows, schema)
 
 
 def _head_lines(fields: dict) -> bytes:
     return (WARC_VERSION + "\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields.items()) + "\r\n").encode()
 
 
+def _warc_records(f, decided: list, damaged: list, count: list) -> Iterator[bytes]:
+    """The WARC records of one ARC stream, as gzip members."""
+    refers = {d["number"]: d for d in decided}
+    for number, record in enumerate(read_arc(f, damaged)):
+        head, payload = _split_http(record["block"])
+        sha1 = hashlib.sha1(payload).digest()
+        to = refers.get(number)
+        block = head if to else record["block"]
+        fields = {
+            "WARC-Type": "revisit" if to else "response",
+            "WARC-Record-ID": record_id(record["url"], record["archive-date"], sha1, _page_id(head)),
+            "WARC-Target-URI": record["url"], "WARC-Date": _iso(record["archive-date"]),
+            "WARC-IP-Address": record["ip-address"],
+            "WARC-Payload-Digest": "sha1:" + base64.b32encode(sha1).decode(),
+            "WARC-Block-Digest": "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode(),
+        }
+        if to:
+            fields |= {"WARC-Profile": REVISIT_PROFILE, "WARC-Refers-To": to["to_id"],
+                       "WARC-Refers-To-Target-URI": to["to_url"], "WARC-Refers-To-Date": to["to_date"]}
+        fields |= {"Content-Type": "application/http; msgtype=response", "Content-Length": len(block)}
+        count.append(number)
+        yield _member(_head_lines(fields) + block + b"\r\n\r\n")
+
+
 def _warc_task(folder: str):
     def run(batches):
         for batch in batches:
             for path, decided in zip(batch.column("path").to_pylist(), batch.column("decided").to_pylist()):
-                store, place = filesystem(path)
-                with store.open_input_stream(place, compression=None) as f:
-                    content = f.read()
-                refers = {d["number"]: d for d in decided}
-                parts = []
-                for number, record in enumerate(read_arc(content)):
-                    head, payload = _split_http(record["block"])
-                    sha1 = hashlib.sha1(payload).digest()
-                    to = refers.get(number)
-                    block = head if to else record["block"]
-                    fields = {
-                        "WARC-Type": "revisit" if to else "response",
-                        "WARC-Record-ID": record_id(record["url"], record["archive-date"], sha1, _page_id(head)),
-                        "WARC-Target-URI": record["url"], "WARC-Date": _iso(record["archive-date"]),
-                        "WARC-IP-Address": record["ip-address"],
-                        "WARC-Payload-Digest": "sha1:" + base64.b32encode(sha1).decode(),
-                        "WARC-Block-Digest": "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode(),
-                    }
-                    if to:
-                        fields |= {"WARC-Profile": REVISIT_PROFILE, "WARC-Refers-To": to["to_id"],
-                                   "WARC-Refers-To-Target-URI": to["to_url"], "WARC-Refers-To-Date": to["to_date"]}
-                    fields |= {"Content-Type": "application/http; msgtype=response", "Content-Length": len(block)}
-                    parts.append(_member(_head_lines(fields) + block + b"\r\n\r\n"))
+                damaged, count = [], []
                 name = path.rsplit("/", 1)[1].removesuffix(".gz").removesuffix(".arc") + ".warc.gz"
-                yield pa.RecordBatch.from_pylist([{"path": write_file(folder, name, parts), "records": len(parts)}])
+                with _open_file(path) as f:
+                    made = write_file(folder, name, _warc_records(f, decided or [], damaged, count))
+                yield pa.RecordBatch.from_pylist([{"path": made, "records": len(count), "damaged": len(damaged)}])
 
     return run
 
 
+def _files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """Paths of the archives below a folder, dealt to tasks by their number and
+    bytes (not by the few bytes of the paths); contents are not read here."""
+    files = land(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path", "length"),
+                 "archive-files")
+    return files.repartition(_tasks(files), "path")
+
+
+def _tasks(files: DataFrame) -> int:
+    """At least as many tasks as keep TASK_BYTES each, and all cores, busy."""
+    total = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("size")).first()
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(total["n"], max(4 * cores, -(-(total["size"] or 0) // TASK_BYTES))))
+
+
 def convert(spark: SparkSession, arc_folder: str, warc_folder: str, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
-    """Convert all ARC files below a folder; one row per WARC file."""
+    """Convert all ARC files below a folder; one row per WARC file with its
+    records and the damaged places that were skipped."""
     ship_package(spark)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.arc*").load(arc_folder).select("path", "content")
-    index = land(files.mapInArrow(
-        _index_task, "path string, number bigint, page_id bigint, n_bytes bigint, sha1 binary, record_id string, "
-                     "url string, date string"), "arc-index")
+    files = _files(spark, arc_folder, "*.arc*")
+    index = land(files.select("path").mapInArrow(_index_task, _INDEX), "arc-index")
     # the response of each payload: named before unnamed, the largest page id, then the latest record
     rank = F.struct(F.col("page_id").isNotNull().alias("named"), "page_id", "path", "number")
     keep = (index.where(F.col("n_bytes") >= revisit_bytes).groupBy("sha1", "n_bytes")
@@ -241,15 +406,15 @@ def convert(spark: SparkSession, arc_folder: str, warc_folder: str, revisit_byte
                .where(F.col("rank") != F.col("to.rank"))
                .select("path", F.struct("number", F.col("to.record_id").alias("to_id"), F.col("to.url").alias("to_url"),
                                         F.col("to.date").alias("to_date")).alias("decided")))
-    # one row per file, with at most one entry per record of the file
-    by_file = index.select("path", F.lit(None).cast(decided.schema["decided"].dataType).alias("decided")).distinct().union(
-        decided).groupBy("path").agg(F.collect_list("decided").alias("decided"))
-    return land(by_file.mapInArrow(_warc_task(warc_folder), "path string, records bigint"), "warc-files")
+    # per file at most one decision per record; files without any are converted as well
+    by_file = files.select("path").join(decided.groupBy("path").agg(F.collect_list("decided").alias("decided")), "path", "left")
+    return land(by_file.repartition(_tasks(files), "path").mapInArrow(
+        _warc_task(warc_folder), "path string, records bigint, damaged bigint"), "warc-files")
 
 
-def read_warc_records(content: bytes) -> Iterator[tuple[dict, bytes]]:
-    """(headers, block) of one WARC file (plain or gzip)."""
-    stream = gzip.GzipFile(fileobj=io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
+def read_warc_records(raw) -> Iterator[tuple[dict, bytes]]:
+    """(headers, block) of one WARC file (bytes or a stream, plain or gzip)."""
+    stream = _Stream(io.BytesIO(raw) if isinstance(raw, (bytes, bytearray)) else raw)
     while line := stream.readline():
         if not line.strip():
             continue
@@ -268,20 +433,25 @@ def _read_warc_task(batches):
                         ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
                         ("refers_to_id", pa.string())])
     for batch in batches:
-        for value in batch.column("content"):
+        for path in batch.column("path").to_pylist():
             rows = []
-            for fields, block in read_warc_records(value.as_buffer().to_pybytes()):
-                head, payload = _split_http(block)
-                digest = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:"))
-                if fields["warc-type"] == "response":
-                    size = len(payload)
-                    if hashlib.sha1(payload).digest() != digest:
-                        raise ValueError(f"payload digest of {fields['warc-record-id']} does not match")
-                else:  # a revisit has the head alone; it tells the payload's size
-                    size = int(_header(head, b"content-length"))
-                rows.append({"record_id": fields["warc-record-id"], "page_id": _page_id(head),
-                             "url": fields["warc-target-uri"], "record_type": fields["warc-type"], "payload_bytes": size,
-                             "payload_digest": digest.hex(), "refers_to_id": fields.get("warc-refers-to")})
+            with _open_file(path) as f:
+                for fields, block in read_warc_records(f):
+                    head, payload = _split_http(block)
+                    digest = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:"))
+                    if fields["warc-type"] == "response":
+                        size = len(payload)
+                        if hashlib.sha1(payload).digest() != digest:
+                            raise ValueError(f"payload digest of {fields['warc-record-id']} does not match")
+                    else:  # a revisit has the head alone; it tells the payload's size
+                        size = int(_header(head, b"content-length"))
+                    rows.append({"record_id": fields["warc-record-id"], "page_id": _page_id(head),
+                                 "url": fields["warc-target-uri"], "record_type": fields["warc-type"],
+                                 "payload_bytes": size, "payload_digest": digest.hex(),
+                                 "refers_to_id": fields.get("warc-refers-to")})
+                    if len(rows) >= _INDEX_ROWS:
+                        yield pa.RecordBatch.from_pylist(rows, schema)
+                        rows = []
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
@@ -290,8 +460,8 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Records of all WARC files below a folder; ``refers_to`` is the page id
     of the response that a revisit names."""
     ship_package(spark)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc*").load(folder).select("content")
-    records = land(files.mapInArrow(
+    files = _files(spark, folder, "*.warc*")
+    records = land(files.select("path").mapInArrow(
         _read_warc_task, "record_id string, page_id bigint, url string, record_type string, payload_bytes bigint, "
                          "payload_digest string, refers_to_id string"), "warc-records")
     # copies of one page row share an identifier

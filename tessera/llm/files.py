@@ -21,7 +21,7 @@ def filesystem(uri: str):
 
 
 def write_file(folder: str, name: str, content) -> str:
-    """Write ``folder/name`` in one step: a file under a name of its own, then
+    """Write ``folder/name`` (bytes, or parts as they come) in one step: a file under a name of its own, then
     a rename, so a repeated or speculative task leaves one whole file (tasks
     are deterministic: every attempt writes the same content).  Readers
     skip names that start with an underscore."""
@@ -31,7 +31,7 @@ def write_file(folder: str, name: str, content) -> str:
     store.create_dir(root, recursive=True)
     temporary = f"{root}/_{uuid.uuid4().hex}"
     with store.open_output_stream(temporary) as out:
-        for part in content if isinstance(content, (list, tuple)) else [content]:
+        for part in [content] if isinstance(content, (bytes, bytearray)) else content:
             out.write(part)
     target = f"{root}/{name}"
     if store.get_file_info(target).type == fs.FileType.NotFound:
