@@ -231,8 +231,10 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     hits = hits.select("doc_id", "text_key", "place", "item_id", "position", "strong", pairs.alias("pairs"),
                        (F.col("slots") == F.col("found")).alias("same")).distinct()
     in_order = Window.partitionBy("doc_id", "text_key", "item_id").orderBy("place", "position")
-    starts_anew = ((F.col("position") <= F.lag("position").over(in_order))
-                   | (F.col("place") > F.lag("place").over(in_order) + STRETCH_GAP))
+    # a window that hits by its words and by its template goes on where it is
+    back = F.col("place") - F.lag("place").over(in_order)
+    starts_anew = (F.col("position") < F.lag("position").over(in_order)) | (back > STRETCH_GAP) | (
+        (F.col("position") == F.lag("position").over(in_order)) & (back > 0))
     hits = hits.withColumn("anew", F.coalesce(starts_anew, F.lit(False)).cast("bigint")).withColumn(
         "stretch", F.sum("anew").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
     occurrences = F.array(*[F.struct(F.lit(k).alias("kind"), n.cast("bigint").alias("n")) for k, n in enumerate(
