@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tessera.llm import quality_rules as rules
 from tessera.llm.archives import REVISIT_BYTES
 from tessera.llm.substring_dedup import MIN_WORDS
 
@@ -79,3 +80,33 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest
        CASE WHEN n >= {REVISIT_BYTES} AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN n >= {REVISIT_BYTES} AND page_id <> last THEN last END AS refers_to
 FROM g"""
+
+QUALITY_RULES = f"""WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {_WORD}) AS words FROM documents),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+lw AS (SELECT doc_id, line, regexp_extract_all(line, {_WORD}) AS words FROM l),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lw WHERE len(words) > 0 GROUP BY doc_id),
+win AS (SELECT doc_id, unnest(range(len(words) - 2)) AS i,
+               unnest(list_transform(range(len(words) - 2), lambda i: array_to_string(words[i + 1:i + 3], ' '))) AS three
+        FROM d WHERE len(words) >= 3),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, three) AS n FROM win) WHERE n > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
+base AS (SELECT d.doc_id, source, text, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+                len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
+                coalesce(rep.n, 0) AS n_repeat_words
+         FROM d LEFT JOIN dup ON dup.doc_id = d.doc_id LEFT JOIN rep ON rep.doc_id = d.doc_id),
+norm AS (SELECT doc_id, line, n, sum(n) AS w
+         FROM (SELECT doc_id, translate(array_to_string(words, ' '), {_LOWER}) AS line, len(words) AS n FROM lw)
+         WHERE n >= {rules.MIN_LINE_WORDS} GROUP BY doc_id, line, n),
+carried AS (SELECT norm.*, source, text FROM norm JOIN base ON base.doc_id = norm.doc_id),
+hosts AS (SELECT source, count(DISTINCT text) AS documents FROM base GROUP BY source),
+frequent AS (SELECT c.source, line, n, min(doc_id) AS first FROM carried c JOIN hosts h ON h.source IS NOT DISTINCT FROM c.source
+             GROUP BY c.source, line, n, h.documents HAVING count(DISTINCT text) > {rules.LINE_LIMIT}
+               AND 100 * count(DISTINCT text) * least(n, {rules.FULL_LINE_WORDS})
+                   >= {rules.LINE_PERCENT * rules.FULL_LINE_WORDS} * h.documents),
+lost AS (SELECT doc_id, sum(w) AS n FROM carried c JOIN frequent f ON f.source IS NOT DISTINCT FROM c.source AND f.line = c.line
+         WHERE doc_id <> first GROUP BY doc_id),
+v AS (SELECT base.*, n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX_REPEAT_PERCENT} * n_words AS base_failed,
+             coalesce(lost.n, 0) AS lost FROM base LEFT JOIN lost ON lost.doc_id = base.doc_id)
+SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND n_words - lost >= CAST({rules.MIN_LEFT} AS DOUBLE) * n_words AS kept FROM v"""

@@ -3,8 +3,8 @@
 Lines are normalised (A-Z lower-cased, white space collapsed) and hashed; per
 host, the distinct documents that carry a line are counted.  Lines of at least
 ``MIN_LINE_WORDS`` words in more than ``limit`` documents of their host, and in
-more than ``LINE_SHARE`` of its distinct documents, are removed everywhere except
-in the host's first carrier (smallest doc_id), and a document that keeps less than
+at least ``LINE_PERCENT`` percent of its distinct documents, are removed
+everywhere except in the host's first carrier (smallest doc_id), and a document that keeps less than
 ``min_left`` of its words is depleted and rejected.  Base rules on the
 document alone (too short, repeated three-word windows) reject as well.
 
@@ -31,9 +31,14 @@ from tessera.llm.words import (
 )
 
 #: Distinct documents of one host that may carry a line, whatever the host's size ...
-LINE_LIMIT = 100
-#: ... and the share of them; above 500 documents it is the larger bound.
-LINE_SHARE = 0.2
+LINE_LIMIT = 20
+#: ... and the percentage of them from which a line is the host's own: text that a
+#: twentieth of all documents repeat word for word is a notice, a menu or a licence.
+#: The percentage is that of the host, so it is alike at every size.
+LINE_PERCENT = 5
+#: Chance repeats a line the more often the fewer words it has: shorter lines need
+#: proportionally more documents (three words twice the percentage).
+FULL_LINE_WORDS = 6
 #: Shorter lines recur by chance in any large host.
 MIN_LINE_WORDS = 3
 #: Share of a document's words that must remain.
@@ -169,15 +174,17 @@ def removed_lines(features: DataFrame, limit: int = LINE_LIMIT) -> DataFrame:
     """Per document that loses lines: the removed hashes and their words."""
     key = ["doc_id", "text_key", "host_key"]
     lines = features.select(*key, F.explode("lines").alias("line")).select(*key, "line.h", "line.w", "line.n").where(
-        F.col("n") >= MIN_LINE_WORDS).drop("n")
-    per_document = lines.groupBy("host_key", "h", "text_key").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+        F.col("n") >= MIN_LINE_WORDS)
+    per_document = lines.groupBy("host_key", "h", "text_key").agg(
+        F.min(F.struct("doc_id", "text_key")).alias("first"), F.max("n").alias("n"))
     hosts = features.groupBy("host_key").agg(F.count_distinct("text_key").alias("host_documents"))
     # landed, so that the join can split a very common line, or broadcast by measured size
     frequent = land(per_document.groupBy("host_key", "h")
-                    .agg(F.count(F.lit(1)).alias("documents"), F.min("first").alias("first"))
+                    .agg(F.count(F.lit(1)).alias("documents"), F.min("first").alias("first"), F.max("n").alias("n"))
                     .where(F.col("documents") > limit).join(hosts, "host_key")
-                    .where(F.col("documents") > LINE_SHARE * F.col("host_documents"))
-                    .drop("documents", "host_documents"), "frequent-lines")
+                    .where(100 * F.col("documents") * F.least("n", F.lit(FULL_LINE_WORDS))
+                           >= LINE_PERCENT * FULL_LINE_WORDS * F.col("host_documents"))
+                    .drop("documents", "host_documents", "n"), "frequent-lines")
     hit = lines.join(frequent, ["host_key", "h"]).where(
         ~(F.struct("doc_id", "text_key").eqNullSafe(F.col("first"))))
     return (hit.groupBy(*key).agg(F.collect_set(F.struct("h", "w")).alias("gone"))

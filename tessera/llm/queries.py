@@ -33,6 +33,7 @@ ORACLE_SQL: dict[str, str] = {
     "op2_minhash_near_dedup": oracle.NEAR_DEDUP,
     "op6_substring_dedup": oracle.SUBSTRING_DEDUP,
     "op8_arc_to_warc": oracle.ARC_TO_WARC,
+    "op10_quality_rules": oracle.QUALITY_RULES,
     "op12_spelling_variants": oracle_words.SPELLING,
     "op13_rendezvous_sharding": oracle_words.SHARDING,
 }
