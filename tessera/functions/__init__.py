@@ -1,55 +1 @@
-from tessera.functions.casts import (
-    in_closed_range,
-    strict_cast,
-    strict_field,
-    tolerant_cast,
-    tolerant_field,
-)
-from tessera.functions.scalars import (
-    age_bucket,
-    b64_decode,
-    b64_encode,
-    bracket_list,
-    epoch_year,
-    explode_delimited,
-    format2,
-    format_or_missing,
-    format_thousands,
-    frame_file_name,
-    gender_from_key,
-    in_year,
-    label_or_default,
-    map_lookup,
-    pad_left,
-    pad_right,
-    percent_of,
-    split_first,
-    split_literal,
-)
-
-__all__ = [
-    "age_bucket",
-    "b64_decode",
-    "b64_encode",
-    "bracket_list",
-    "epoch_year",
-    "explode_delimited",
-    "format2",
-    "format_or_missing",
-    "format_thousands",
-    "frame_file_name",
-    "gender_from_key",
-    "in_closed_range",
-    "in_year",
-    "label_or_default",
-    "map_lookup",
-    "pad_left",
-    "pad_right",
-    "percent_of",
-    "split_first",
-    "split_literal",
-    "strict_cast",
-    "strict_field",
-    "tolerant_cast",
-    "tolerant_field",
-]
+"""Column functions: casts and scalars."""

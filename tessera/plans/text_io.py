@@ -22,10 +22,10 @@ from tessera.functions.scalars import (
     pad_right,
     percent_of,
 )
-from tessera.operators.aggregate import average_by, top_n, with_rank
+from tessera.operators.aggregate import average_by, count_by, top_n, with_rank
 from tessera.operators.inspect import sample_rows as _sample
 from tessera.operators.inspect import schema_rows
-from tessera.operators.join import join_dimension
+from tessera.operators.join import join_dimension, union_all
 from tessera.operators.partitioning import materialize
 from tessera.plans import orders as O
 from tessera.plans import ratings as R
@@ -39,6 +39,9 @@ from tessera.sources.text import parse_delimited, read_lines, to_delimited_line,
 # Column widths of the category report lines.
 CATEGORY_WIDTH, MONEY_WIDTH, COUNT_WIDTH = 30, 15, 10
 RANK_WIDTH, TOP_MONEY_WIDTH, PCT_WIDTH = 5, 20, 14
+SCORE_WIDTH, SCORE_COUNT_WIDTH = 15, 25
+# Labels of the closing lines.
+TOTAL_LABEL, TOP10_LABEL = "Tong cong", "Tong Top 10"
 
 DOCUMENT_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -141,6 +144,71 @@ def csv_schema_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_rows(spark, {"orders": read_csv(spark, path, infer=True)})
 
 
+#: Sources of the order questions: their tables and the stand-in columns' SQL.
+_SOURCES = {
+    "customers": (T.customers, O.SQL_CUSTOMERS, {"customer_id": None, "country": "string"}),
+    "orders": (T.orders, O.SQL_ORDERS, {"order_id": None, "customer_id": None, "purchase_ts": "timestamp"}),
+    "order_items": (T.order_items, O.SQL_ITEMS, {"order_id": None, "item_id": None, "product_id": None, "seller_id": None,
+                                                 "price": "double", "freight": "double"}),
+    "reviews": (T.reviews, O.SQL_REVIEWS, {"review_id": None, "score": "string"}),
+    "products": (T.products, O.SQL_PRODUCTS, {"product_id": None, "category": "string"}),
+}
+
+
+def _source_schema_sql() -> str:
+    rows = []
+    for table, (_, sql, columns) in _SOURCES.items():
+        for pos, (name, kind) in enumerate(columns.items(), 1):
+            type_sql = f"'{kind}'" if kind else (
+                f"(SELECT CASE WHEN max({name}) > 2147483647 THEN 'bigint' ELSE 'int' END FROM ({sql}))")
+            rows.append(f"SELECT '{table}' AS \"table\", CAST({pos} AS INTEGER) AS pos, '{name}' AS \"column\", "
+                        f"{type_sql} AS type, true AS nullable")
+    return " UNION ALL ".join(rows)
+
+
+@query("source_schema_rows", _source_schema_sql(), "SRC3 SNK4")
+def source_schema_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five order sources as ``;`` CSV files, read back with type inference,
+    and what ``printSchema`` shows of each, as rows."""
+    frames = {}
+    for table, (make, _, _) in _SOURCES.items():
+        path = scratch_dir(spark, f"{table}-csv")
+        write_csv(make(spark, sf_dir), path)
+        frames[table] = read_csv(spark, path, infer=True)
+    return schema_rows(spark, frames)
+
+
+_SAMPLES = {  # key columns and the fields of a sample line, in Spark and in SQL
+    "customers": (["customer_id"], ["customer_id", "country"]),
+    "orders": (["order_id"], ["order_id", "customer_id"]),
+    "order_items": (["order_id", "item_id", "product_id", "seller_id", "price"],  # items may repeat a number
+                    ["order_id", "item_id", "product_id", "seller_id", "price", "freight"]),
+    "reviews": (["review_id"], ["review_id", "score"]),
+    "products": (["product_id"], ["product_id", "category"]),
+}
+_MONEY = ("price", "freight")
+
+
+def _source_samples_sql() -> str:
+    parts = []
+    for table, (keys, fields) in _SAMPLES.items():
+        line = " || ';' || ".join(f"printf('%.4f', {f})" if f in _MONEY else f"CAST({f} AS VARCHAR)" for f in fields)
+        parts.append(f"(SELECT '{table}' AS \"table\", CAST(row_number() OVER (ORDER BY {', '.join(keys)}) AS INTEGER) AS pos, "
+                     f"{line} AS line FROM (SELECT * FROM ({_SOURCES[table][1]}) ORDER BY {', '.join(keys)} LIMIT 5))")
+    return " UNION ALL ".join(parts)
+
+
+@query("source_samples", _source_samples_sql(), "SNK5 SRT5")
+def source_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five rows by key of every order source, as text lines."""
+    parts = []
+    for table, (keys, fields) in _SAMPLES.items():
+        top = with_rank(_sample(_SOURCES[table][0](spark, sf_dir), 5, keys), keys, "pos")
+        line = F.concat_ws(";", *[F.format_string("%.4f", F.col(f)) if f in _MONEY else F.col(f).cast("string") for f in fields])
+        parts.append(top.select(F.lit(table).alias("table"), "pos", line.alias("line")))
+    return union_all(*parts)
+
+
 @query(
     "sample_rows",
     "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority "
@@ -269,3 +337,48 @@ def top10_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("%"),
     )
     return top.orderBy("rank").select("rank", line.alias("line"))
+
+
+@query(
+    "score_report_text",
+    f"""{O._WITH},
+s AS (SELECT score, COUNT(*) AS n FROM v GROUP BY score), t AS (SELECT COUNT(*) AS total FROM v),
+r AS (SELECT score AS pos, {_pad_sql('CAST(score AS VARCHAR)', SCORE_WIDTH, 'left')} AS label, n, CAST(n AS DOUBLE) * 100.0 / CAST(total AS DOUBLE) AS pct
+      FROM s, t
+      UNION ALL SELECT {O.SCORE_MAX + 1}, {_pad_sql(f"'{TOTAL_LABEL}'", SCORE_WIDTH, 'left')}, total, 100.0 FROM t)
+SELECT CAST(pos AS INTEGER) AS pos, label || ' ' || {_pad_sql("format('{:,}', n)", SCORE_COUNT_WIDTH, 'left')} || ' ' ||
+       {_pad_sql(_fmt_sql('pct'), PCT_WIDTH, 'left')} || '%' AS line
+FROM r ORDER BY pos""",
+    "SNK1 SCA9 SCA10 AGG13",
+)
+def score_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report lines of the review scores, closed by their total."""
+    counts = materialize(count_by(O.valid_reviews(spark, sf_dir), ["score"], "review_id", "n"))  # at most five rows
+    total = counts.agg(F.sum("n").alias("n"))
+    rows = union_all(
+        counts.select(F.col("score").alias("pos"), F.col("score").cast("string").alias("label"), "n"),
+        total.select(F.lit(O.SCORE_MAX + 1).alias("pos"), F.lit(TOTAL_LABEL).alias("label"), "n"))
+    share = percent_of(F.col("n"), counts.select(F.sum("n")).scalar())
+    line = F.concat(F.concat_ws(" ", pad_left("label", SCORE_WIDTH), pad_left(format_thousands("n", 0), SCORE_COUNT_WIDTH),
+                                pad_left(format2(share), PCT_WIDTH)), F.lit("%"))
+    return rows.select(F.col("pos").cast("int").alias("pos"), line.alias("line")).orderBy("pos")
+
+
+@query(
+    "top10_subtotal_text",
+    f"""{O._WITH},
+t AS (SELECT revenue FROM cat ORDER BY revenue DESC, category NULLS FIRST LIMIT {O.TOP_N}),
+s AS (SELECT CAST(SUM(revenue) AS DOUBLE) AS top, CAST((SELECT SUM(revenue) FROM cat) AS DOUBLE) AS total FROM t)
+SELECT repeat(' ', {RANK_WIDTH}) || ' ' || {_pad_sql(f"'{TOP10_LABEL}'", CATEGORY_WIDTH, 'right')} || ' ' ||
+       {_pad_sql("format('{:,.2f}', top)", TOP_MONEY_WIDTH, 'left')} || ' ' ||
+       {_pad_sql(_fmt_sql('top * 100.0 / total'), PCT_WIDTH, 'left')} || '%' AS line
+FROM s""",
+    "SNK1 AGG14 SCA9 SCA10",
+)
+def top10_subtotal_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The closing line of the top-10 report: its subtotal and share."""
+    row = O.top10_subtotal_share(spark, sf_dir)
+    return row.select(F.concat(
+        F.concat_ws(" ", pad_left(F.lit(""), RANK_WIDTH), pad_right(F.lit(TOP10_LABEL), CATEGORY_WIDTH),
+                    pad_left(format_thousands("top_revenue", 2), TOP_MONEY_WIDTH), pad_left(format2("top_pct"), PCT_WIDTH)),
+        F.lit("%")).alias("line"))

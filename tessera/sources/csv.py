@@ -2,9 +2,9 @@
 doubled quote as escape (``;`` by default).
 
 Reading with an explicit schema avoids the extra inference pass over the
-data; ``infer=True`` keeps the inferring behaviour available.  Multi-line
-records make a file unsplittable (one task per file), so the writer bounds
-the records per file to keep the read parallel.
+data; ``infer=True`` keeps the inferring behaviour available.  Spark's own
+reader takes a multi-line file as one task, so the writer bounds the records per
+file; ``sources/csv_ranges.py`` reads files of any size in parallel.
 """
 
 from __future__ import annotations
@@ -72,10 +72,12 @@ def land_csv_as_parquet(
     sep: str = ";",
     keep_empty_strings: bool = False,
 ) -> DataFrame:
-    """Read multi-line CSV once (one task per file: not splittable) and keep
-    it as parquet, which later queries read split by split with column
-    pruning and pushed filters.  Returns the parquet-backed frame."""
-    read_csv(spark, csv_path, schema, sep=sep, keep_empty_strings=keep_empty_strings).write.mode(
+    """Read multi-line CSV once, with several tasks per file, and keep it as
+    parquet, which later queries read with column pruning and pushed filters.
+    Returns the parquet-backed frame."""
+    from tessera.sources.csv_ranges import read_csv_ranges
+
+    read_csv_ranges(spark, csv_path, schema, sep=sep, keep_empty_strings=keep_empty_strings).write.mode(
         "overwrite"
     ).parquet(parquet_path)
     return spark.read.schema(schema).parquet(parquet_path)
