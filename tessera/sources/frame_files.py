@@ -13,8 +13,8 @@ publish:
 
 * ``overwrite`` stages a whole new folder beside the old one and swaps the two by
   renaming, whatever the number of files; readers find the old set or the new
-  one.  If the driver is lost between the two renames, ``recover`` (which every
-  read and write calls) puts the old folder back.
+  one.  If the driver is lost between the two renames, ``recover`` puts the old
+  folder back; the next write calls it (readers do not: the writer may be alive).
 * ``append`` and streams move the files of the attempts that committed into the
   folder, replacing files of the same name (same id later -> later content wins).
   A replayed batch moves the same files again.
@@ -266,7 +266,6 @@ def read_frame_files(spark: SparkSession, path: str, pattern: str = "frame_*") -
     """(file_name, length, content) of the files written to ``path``."""
     from pyspark.sql import functions as F
 
-    recover(path)
     df = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
     return df.select(
         F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "length", "content"

@@ -53,9 +53,10 @@ def test_half_done_swap_is_finished(spark, scratch):
     out = scratch + "/frames"
     ff.write_frame_files(frames(spark, ["frame_1"], b"old"), out)
     os.rename(out, f"{scratch}/_frames.old-1")  # the driver was lost between the two renames
+    ff.recover(out)
     assert ff.read_frame_files(spark, out).count() == 1
     os.mkdir(f"{scratch}/_frames.old-2")  # or before it removed the old set
-    ff.recover(out)
+    ff.write_frame_files(frames(spark, ["frame_2"]), out)
     assert os.listdir(scratch) == ["frames"]
 
 
