@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 
@@ -26,7 +28,9 @@ def ship_package(spark: SparkSession) -> None:
     import tessera
 
     root = os.path.dirname(os.path.abspath(tessera.__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="tessera-ship-"), "tessera_package.zip")
+    folder = tempfile.mkdtemp(prefix="tessera-ship-")  # on the driver, which hands the file out
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "tessera_package.zip")
     with zipfile.ZipFile(path, "w") as z:
         for folder, _, names in os.walk(root):
             for name in names:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import land, ship_package
-from tessera.llm.tokenizer import encoder, text_groups
+from tessera.llm.tokenizer import encoder
 
 WINDOWS = (2048, 1024, 512, 256)
 #: Below the shortest tier, leftovers of a shard are cut at powers of two down to this.
@@ -46,16 +46,15 @@ def _cut_task(path: str, end_id: int, window: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encode, base = encoder(path).encode, TaskContext.get().partitionId() << 32
+        column_ids, base = encoder(path).column_ids, TaskContext.get().partitionId() << 32
         rid = whole = 0
         per_step = max(STEP_TOKENS // window, 1)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
             doc_ids = batch.column("doc_id")
-            for a, b in text_groups(texts):
+            for a, found in column_ids(batch.column("text")):
                 rows, source = [], []
-                for r, ids in enumerate(encode(texts[a:b]), a):
-                    ids += end
+                for r, ids in enumerate(found, a):
+                    ids = ids.astype("<u4", copy=False).tobytes() + end
                     n = len(ids) // 4
                     for start in range(0, n, window):
                         length = min(window, n - start)

@@ -34,14 +34,18 @@ from pyspark.sql import functions as F
 from tessera.llm.common import land, ship_package
 from tessera.llm.files import write_file
 from tessera.llm.huffman import Decoder, canonical_codes, code_lengths, encode_blocks
-from tessera.llm.tokenizer import encoder, text_groups
+from tessera.llm.tokenizer import encoder
+from tessera.operators.partitioning import input_bytes
 
 MAGIC = b"TOKHUF01"
 _HEADER = struct.Struct("<8sqqqqqq")
 BLOCK = 512
 CODE_LIMIT = 18
 FILE_TOKENS = 1 << 22
-PARTITION_BYTES = 16 << 20
+#: Most input bytes (as Spark's statistics give them) of one range of documents.
+PARTITION_BYTES = 128 << 20
+#: Ranges whose sums one window adds up; groups of them are one row each in the next.
+FAN = 1024
 _FILE_SCHEMA = "path string, part bigint, seq bigint, n_docs bigint, n_tokens bigint, n_bytes bigint"
 
 
@@ -49,12 +53,11 @@ def _tokenize_task(path: str, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encode, part, seq = encoder(path).encode, TaskContext.get().partitionId(), 0
+        column_ids, part, seq = encoder(path).column_ids, TaskContext.get().partitionId(), 0
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in text_groups(texts):
-                ids = [x + end for x in encode(texts[a:b])]
-                n = b - a
+            for a, found in column_ids(batch.column("text")):
+                ids = [x.astype("<u4", copy=False).tobytes() + end for x in found]
+                n = len(ids)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, part, np.int64)), pa.array(np.arange(seq, seq + n)),
                      batch.column("doc_id").slice(a, n), pa.array(ids, pa.binary())],
@@ -67,12 +70,19 @@ def _tokenize_task(path: str, end_id: int):
 def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id",
               text_col: str = "text", partition_bytes: int = PARTITION_BYTES) -> DataFrame:
     """(part, seq, doc_id, ids): ids as little-endian uint32, end id last, in
-    ascending doc_id order by (part, seq)."""
-    ship_package(docs.sparkSession)
+    ascending doc_id order by (part, seq).
+
+    Texts are read once for the range bounds and once for the shuffle.  There
+    are as many ranges as the session has shuffle partitions, which Spark may
+    merge, or more where the scan's size asks for it.  Null and repeated ids
+    are spread by text hash and place."""
+    spark = docs.sparkSession
+    ship_package(spark)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-size // partition_bytes))
-    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    order = ["doc_id", F.xxhash64("text")]
+    wanted = -(-input_bytes(rows) // partition_bytes)
+    more = [wanted] if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else []
+    ordered = rows.repartitionByRange(*more, *order).sortWithinPartitions(*order)
     return ordered.mapInArrow(_tokenize_task(tokenizer_path, end_id),
                               "part bigint, seq bigint, doc_id bigint, ids binary")
 
@@ -159,9 +169,18 @@ def write_token_files(ids: DataFrame, folder: str, block: int = BLOCK, limit: in
     ``start``, the number of ids before it."""
     lengths = global_code(ids, limit)
     written = land(ids.mapInArrow(_write_task(folder, lengths, block, file_tokens), _FILE_SCHEMA), "token-file-list")
-    # one row per file, like a commit manifest
-    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    return written.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
+    # ids before a file: before its group of ranges, its range there, and itself there
+    parts = written.groupBy("part").agg(F.sum("n_tokens").alias("n")).withColumn("upper", F.floor(F.col("part") / FAN))
+    uppers = parts.groupBy("upper").agg(F.sum("n").alias("n"))
+
+    def before(column: str, order: str, *keys: str):
+        window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(column).over(window), F.lit(0))
+
+    places = parts.select("part", "upper", before("n", "part", "upper").alias("in_upper")).join(
+        uppers.select("upper", before("n", "upper").alias("base")), "upper").select("part", (F.col("base") + F.col("in_upper")).alias("base"))
+    placed = written.withColumn("in_part", before("n_tokens", "seq", "part")).join(places, "part")
+    return placed.withColumn("start", F.col("base") + F.col("in_part")).select(*written.columns, "start")
 
 
 def read_file(content: bytes) -> tuple[int, int, list, np.ndarray, np.ndarray]:

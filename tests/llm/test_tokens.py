@@ -92,6 +92,22 @@ def test_token_files_round_trip(spark, scratch, byte_ids):
     assert got == want
 
 
+def test_starts_add_up_over_groups_of_ranges(spark, scratch, monkeypatch):
+    monkeypatch.setattr(token_files, "FAN", 2)
+    texts = random_texts(80, 9)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several ranges
+    try:
+        token_files.token_ids(documents(spark, texts), BYTE).write.parquet(f"{scratch}/ids")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = token_files.write_token_files(spark.read.parquet(f"{scratch}/ids"), f"{scratch}/files", file_tokens=700).collect()
+    at = 0
+    for r in sorted(files, key=lambda r: (r["part"], r["seq"])):
+        assert r["start"] == at
+        at += r["n_tokens"]
+    assert len({r["part"] for r in files}) > 4
+
+
 def test_blocks_decode_independently():
     ids = np.arange(1000, dtype=np.uint32) % 37
     lengths = code_lengths(np.bincount(ids), 16)
