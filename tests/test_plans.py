@@ -11,9 +11,9 @@ from .conftest import SMOKE_DIR
 QUERIES = load_all()
 
 # Un-partitioned windows are allowed only over results with a proven small
-# bound: a top-10 (rank) and the at most five valid review scores.
+# bound: a top-10 (rank), five sample rows and the at most five valid review scores.
 BOUNDED_WINDOW_QUERIES = {
-    "top10_categories_share", "top10_report_text", "review_score_distribution",
+    "top10_categories_share", "top10_report_text", "review_score_distribution", "source_samples",
 }
 
 
@@ -93,7 +93,7 @@ def test_no_round_robin(plans, name):
 # A limit is allowed only where it is the feature: top-1, top-10, 5-row sample.
 LIMIT_IS_THE_FEATURE = {
     "best_movie_min_support", "best_movie_out_of_reach", "top10_categories_share", "top10_subtotal_share",
-    "top10_report_text", "sample_rows",
+    "top10_report_text", "top10_subtotal_text", "sample_rows", "source_samples",
 }
 
 
