@@ -20,7 +20,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
     return (both.join(least, "a").where(F.col("b") > F.col("a"))
-            .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
+            .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -32,9 +32,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def _are_stars(edges: DataFrame) -> bool:
     """Whether every node has one link, to a node that has none of its own."""
-    if not edges.groupBy("a").count().where("count > 1").isEmpty():
-        return False
-    return edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty()
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    counted = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return counted.where("out > 1 OR (out = 1 AND into = 1)").isEmpty()
 
 
 def components(edges: list[DataFrame]) -> DataFrame:

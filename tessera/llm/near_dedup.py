@@ -80,44 +80,49 @@ def _sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
-def _node(shingles: np.ndarray) -> int:
-    """64-bit fingerprint of a shingle set."""
-    a, b = shingles.sum(dtype=U), mix(shingles).sum(dtype=U)
-    return int(mix(np.array([a], U) * U(0x9FB21C651E98DF25) + mix(np.array([b], U)) + U(len(shingles))).view(np.int64)[0])
+def _node(shingles: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit fingerprints of a shingle set: two independent mixed sums."""
+    once = mix(shingles)
+    sums = np.array([once.sum(dtype=U), mix(once ^ U(0xA0761D6478BD642F)).sum(dtype=U)], U)
+    node, check = mix(sums + U(len(shingles))).view(np.int64)
+    return int(node), int(check)
 
 
 def _signature_task(coordinates: int, k: int):
     def run(batches):
         for batch in batches:
             n = batch.num_rows
-            sizes, nodes, entries, lengths = np.zeros(n, np.int64), [None] * n, [], np.zeros(n + 1, np.int32)
+            sizes, nodes, checks, entries = np.zeros(n, np.int64), [None] * n, [None] * n, []
+            lengths = np.zeros(n + 1, np.int32)
             sketches = np.zeros((n, SKETCH_WORDS), np.int64)
             for texts in text_slices(batch.column("text")):
                 for r, shingles in enumerate(shingle_sets(texts, k), texts.first):
                     if len(shingles):
-                        sizes[r], nodes[r], lengths[r + 1] = len(shingles), _node(shingles), coordinates
+                        sizes[r], lengths[r + 1] = len(shingles), coordinates
+                        nodes[r], checks[r] = _node(shingles)
                         entries.append(_signature(shingles, coordinates))
                         sketches[r] = _sketch(shingles)
             flat = np.concatenate(entries).view(np.int64) if entries else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes), pa.array(nodes, pa.int64()),
+                 pa.array(checks, pa.int64()),
                  pa.ListArray.from_arrays(np.cumsum(lengths, dtype=np.int32), pa.array(flat)),
                  *[pa.array(sketches[:, i]) for i in range(SKETCH_WORDS)]],
-                names=["doc_id", "text_key", "n_shingles", "node", "entries", *_SKETCH])
+                names=["doc_id", "text_key", "n_shingles", "node", "check", "entries", *_SKETCH])
 
     return run
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                coordinates: int = COORDINATES, k: int = SHINGLE_WORDS) -> DataFrame:
-    """Per document: set size, set fingerprint (null if empty), posted entries, odd sketch."""
+    """Per document: set size, two set fingerprints (null if empty), posted entries, odd sketch."""
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"),
                        F.col(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
         _signature_task(coordinates, k),
-        f"doc_id {id_type}, text_key bigint, n_shingles bigint, node bigint, entries array<bigint>, "
+        f"doc_id {id_type}, text_key bigint, n_shingles bigint, node bigint, check bigint, entries array<bigint>, "
         + ", ".join(f"{c} bigint" for c in _SKETCH))
 
 
@@ -201,9 +206,18 @@ def _across(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _contract(labels: DataFrame | None, links: DataFrame) -> DataFrame:
-    """(node, root) after new links, along the stars found so far."""
-    stars = [] if labels is None else [labels.select(F.col("node").alias("a"), F.col("root").alias("b"))]
-    return land(components([*stars, links]), "labels")
+    """(node, root) after new links: only the roots that the links join are
+    contracted, and the labels follow."""
+    if labels is None:
+        return land(components([links]), "labels")
+    between = (links.join(labels.select(F.col("node").alias("a"), F.col("root").alias("root_a")), "a", "left")
+               .join(labels.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b", "left")
+               .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+    merged = land(components([between]), "merged-roots")
+    tops = merged.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    moved = labels.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    fresh = merged.join(labels.select("node"), "node", "left_anti")  # nodes that had no link before
+    return land(moved.union(fresh.select("node", "root")), "labels")
 
 
 def link_components(nodes: DataFrame, postings: DataFrame, texts: DataFrame, floor: int, percent: int,
@@ -212,20 +226,23 @@ def link_components(nodes: DataFrame, postings: DataFrame, texts: DataFrame, flo
     pending: list[DataFrame] = []
     labels: DataFrame | None = None
     bounds = ["n_shingles", *_SKETCH]
-    prefixes = postings.groupBy("node").agg(F.collect_list("key").alias("keys"))  # at most one key per coordinate
-    postings = land(postings.join(nodes.select("node", *bounds), "node"), "postings")
+    # one row a node (at most one key per coordinate) until its keys are needed
+    holders = land(postings.groupBy("node").agg(F.collect_list("key").alias("keys")), "holders")
+    prefixes = holders
     before, last = None, False
     while not last:
-        rows = postings
         if labels is None:
-            rows = rows.withColumn("root", F.col("node"))
+            rows = holders.withColumn("root", F.col("node"))
         else:
-            rows = rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            rows = holders.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rows = rows.select("node", "root", F.explode("keys").alias("key"))
         per_root = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
         per_key = per_root.groupBy("key").agg(
             F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("main"),
             F.count(F.lit(1)).alias("roots")).where("roots > 1")
-        live = land(rows.join(per_key.select("key", "size", F.col("main.root").alias("main")), "key"), "postings")
+        # landed with the bounds, so that the joins below are planned by measured sizes
+        live = land(rows.join(per_key.select("key", "size", F.col("main.root").alias("main")), "key")
+                    .join(nodes.select("node", *bounds), "node"), "postings")
         total = live.agg(F.count(F.lit(1)).alias("rows"), F.sum(
             F.when(F.col("root") != F.col("main"), F.col("size")).otherwise(0)).alias("pairs")).first()
         if not total["rows"]:
@@ -248,7 +265,8 @@ def link_components(nodes: DataFrame, postings: DataFrame, texts: DataFrame, flo
             pivot = live.where("root <> main").groupBy("key").agg(F.min("node").alias("pivot"))
             pivots = two.join(pivot, "key").where("b_node = pivot").drop("pivot")
             found = one.join(pivots, "key").where(apart)
-            postings = land(live.join(pivot, "key").where("node <> pivot").select("key", "node", *bounds), "postings")
+            left = live.select("key", "node").join(pivot, "key").where("node <> pivot")
+            holders = land(left.groupBy("node").agg(F.collect_list("key").alias("keys")), "holders")
         pairs = found.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
         matched = land(_matching(pairs, nodes, floor), "pairs")
         # first each node's best partner; what that leaves apart comes at the end
@@ -264,6 +282,11 @@ def link_components(nodes: DataFrame, postings: DataFrame, texts: DataFrame, flo
     return labels
 
 
+def _renumbered(rows: DataFrame, clash: DataFrame) -> DataFrame:
+    node = F.when(F.col("clash").isNotNull(), F.xxhash64("node", "check")).otherwise(F.col("node"))
+    return rows.join(clash, F.col("node") == F.col("clash"), "left").withColumn("node", node).drop("clash")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80,
                     coordinates: int = COORDINATES, k: int = SHINGLE_WORDS) -> DataFrame:
     """One row per document: ``doc_id, text_key, n_shingles, component_id``
@@ -271,9 +294,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``first`` (whether the row is its component's representative)."""
     floor = match_floor(percent, coordinates)
     features = land(signatures(docs, id_col, text_col, coordinates, k), "signatures")
-    nodes = land(features.where("node IS NOT NULL").groupBy("node").agg(
+    nodes = land(features.where("node IS NOT NULL").groupBy("node", "check").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("rep"),
         F.count(F.lit(1)).alias("n_rows"), *[F.first(c).alias(c) for c in ("n_shingles", "entries", *_SKETCH)]), "nodes")
+    # sets are equal if both fingerprints are; of two sets with one first fingerprint
+    # (a chance of 2^-64 a pair) each gets a number from both
+    clash = land(nodes.groupBy("node").count().where("count > 1").select(F.col("node").alias("clash")), "clashes")
+    if not clash.isEmpty():
+        features, nodes = _renumbered(features, clash), _renumbered(nodes, clash)
     postings = land(_several(prefix_postings(nodes, floor)), "postings")
     wanted = nodes.join(postings.select("node").distinct(), "node", "left_semi").select(
         "node", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key"))

@@ -41,6 +41,20 @@ def test_components_match_brute_force(spark, percent):
     assert {r["doc_id"]: r["n_shingles"] for r in rows} == {i: len(shingles(t)) for i, t in zip(ids, texts)}
 
 
+def test_sets_with_one_fingerprint_stay_apart(spark, monkeypatch):
+    whole = near_dedup.signatures
+
+    def clashing(*args, **options):
+        return whole(*args, **options).selectExpr("*", "node IS NULL AS none").selectExpr(
+            "doc_id", "text_key", "n_shingles", "CASE WHEN NOT none THEN node % 3 END AS node", "`check`", "entries",
+            *near_dedup._SKETCH)
+
+    monkeypatch.setattr(near_dedup, "signatures", clashing)
+    texts = corpus()
+    rows = near_dedup.near_duplicates(documents(spark, texts), percent=80).collect()
+    assert [r["component_id"] for r in sorted(rows, key=lambda r: r["doc_id"])] == components(texts, list(range(len(texts))), 80)
+
+
 def test_large_group_of_near_copies_takes_pivot_rounds(spark, monkeypatch):
     rng = random.Random(5)
     base = prose(rng, 150)
